@@ -7,8 +7,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "bigint": T.LongType,
+    "int": T.IntegerType,
+    "double": T.DoubleType,
+    "string": T.StringType,
+    "boolean": T.BooleanType,
+    "date": T.DateType,
+    "timestamp": T.TimestampType,
+}
+
+
 def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """Contract from ``name type, ...``; unlike ``fromDDL`` it needs no running session."""
+    fields = (part.split() for part in spec.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]()) for name, kind in fields])
 
 
 CUSTOMERS = _struct(
