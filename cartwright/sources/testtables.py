@@ -90,9 +90,13 @@ def experiment_config(spark: SparkSession) -> DataFrame:
 
 
 def web_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return web_sessions_from(_table(spark, sf_dir, "events"))
+
+
+def web_sessions_from(events: DataFrame) -> DataFrame:
     """Events split over the eight experiments and two arms by event id."""
     names = F.array(*[F.lit(name) for name, _ in EXPERIMENTS])
-    return _table(spark, sf_dir, "events").select(
+    return events.select(
         F.col("event_id").alias("session_id"),
         names[F.pmod("event_id", F.lit(8)).cast("int")].alias("experiment_name"),
         F.when(F.pmod(F.floor(F.col("event_id") / 8), F.lit(2)) == 0, "control")
