@@ -9,36 +9,73 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Cumulative Poisson(1) probabilities; beyond 12 the mass is below 1e-10.
-_POISSON_CDF = [sum(math.exp(-1) / math.factorial(k) for k in range(m + 1)) for m in range(13)]
+# Cumulative Poisson(1) probabilities as 64-bit thresholds; beyond 12 the mass is below 1e-10.
+_POISSON_STEPS = [
+    int(sum(math.exp(-1) / math.factorial(k) for k in range(m + 1)) * 2**64) for m in range(13)
+]
 
 
-def poisson_weight(seed: int, replicate: Column, row_key: Column) -> Column:
-    """Poisson(1) count of a row in a bootstrap replicate, decided by a hash of (seed, replicate, row)."""
-    bits = F.pmod(F.xxhash64(F.lit(seed), replicate, row_key), F.lit(1 << 52))
-    u = bits / float(1 << 52)
-    out = F.lit(0)
-    for p in _POISSON_CDF:
-        out = out + (u >= p).cast("int")
+def _mix(x: np.ndarray) -> np.ndarray:
+    """Finaliser of the SplitMix64 generator: well-spread bits from any 64-bit counter."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def poisson_weights(row_hash: np.ndarray, replicates: int, seed: int) -> np.ndarray:
+    """Poisson(1) counts, rows x replicates, decided by (seed, replicate, row) alone."""
+    counter = np.arange(1, replicates + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed)
+    bits = _mix(row_hash[:, None] ^ _mix(counter)[None, :])
+    out = np.zeros(bits.shape, dtype=np.uint8)
+    for step in _POISSON_STEPS:
+        out += bits >= np.uint64(step)
     return out
 
 
+_SLICE = 512
+
+
 def bootstrap_sums(
     df: DataFrame, groups: Sequence[str], row_key: str, sums: dict[str, Column], replicates: int, seed: int
 ) -> DataFrame:
     """Per group and replicate: total weight ``w`` and weighted sums.
 
-    Every row meets every replicate inside its own task and is folded into map-side partial sums, so the shuffle
-    carries groups x replicates rows per task whatever the table size.
+    A task meets each of its rows once, draws the row's weights for all replicates as one vector and keeps group x
+    replicate totals, so the shuffle carries that many rows per task whatever the table size.
     """
-    weighted = df.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1)))).withColumn(
-        "_w", poisson_weight(seed, F.col("replicate"), F.col(row_key))
+    names = list(sums)
+    rows = df.select(*groups, F.xxhash64(row_key).alias("_h"), *[e.cast("double").alias(n) for n, e in sums.items()])
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        totals: dict[tuple, np.ndarray] = {}
+        for pdf in batches:
+            parts = pdf.groupby(list(groups), dropna=False, sort=False) if groups else [((), pdf)]
+            for key, part in parts:
+                acc = totals.setdefault(key, np.zeros((len(names) + 1, replicates)))
+                hashes = part["_h"].to_numpy(np.int64).view(np.uint64)
+                values = np.column_stack([np.ones(len(part)), part[names].to_numpy(float)])
+                for at in range(0, len(part), _SLICE):
+                    weights = poisson_weights(hashes[at : at + _SLICE], replicates, seed)
+                    acc += values[at : at + _SLICE].T @ weights.astype(float)
+        for key, acc in totals.items():
+            out = pd.DataFrame({g: [k] * replicates for g, k in zip(groups, key)})
+            out["replicate"] = np.arange(replicates)
+            for name, row in zip(["w", *names], acc):
+                out[name] = row
+            yield out
+
+    schema = T.StructType(
+        [rows.schema[g] for g in groups]
+        + [T.StructField("replicate", T.IntegerType())]
+        + [T.StructField(n, T.DoubleType()) for n in ["w", *names]]
     )
     return (
-        weighted.filter(F.col("_w") > 0)
+        rows.mapInPandas(fold, schema)
         .groupBy(*groups, "replicate")
-        .agg(F.sum("_w").alias("w"), *[F.sum(F.col("_w") * expr).alias(name) for name, expr in sums.items()])
+        .agg(*[F.sum(n).alias(n) for n in ["w", *names]])
+        .filter(F.col("w") > 0)
     )
 
 

@@ -57,8 +57,8 @@ def transactions(spark: SparkSession, sf_dir: str, with_category: bool = False)
     lines = _table(spark, sf_dir, "lineitem")
     orders = _table(spark, sf_dir, "orders")
     sign = F.when(F.col("l_returnflag") == "R", -1.0).otherwise(1.0)
-    revenue = F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")), 4) * sign
-    cogs = F.round(F.col("l_extendedprice") * COGS_SHARE, 4)
+    revenue = F.col("l_extendedprice") * (1 - F.col("l_discount")) * sign
+    cogs = F.col("l_extendedprice") * COGS_SHARE
     month = F.month("o_orderdate")
     out = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("l_orderkey").alias("order_id"),
@@ -71,7 +71,7 @@ def transactions(spark: SparkSession, sf_dir: str, with_category: bool = False)
         F.col("l_discount").alias("discount_pct"),
         revenue.alias("revenue"),
         cogs.alias("cogs"),
-        F.round(revenue - cogs, 4).alias("gross_profit"),
+        (revenue - cogs).alias("gross_profit"),
         F.col("o_orderpriority").alias("payment_method"),
         F.col("l_linestatus").alias("device_type"),
         (F.col("l_returnflag") == "R").alias("is_returned"),

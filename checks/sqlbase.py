@@ -16,12 +16,10 @@ CTE["txn"] = """
 SELECT l_orderkey AS order_id, l_linenumber AS line_number, o_custkey AS customer_id, l_partkey AS product_id,
   p_type AS category, o_orderdate AS transaction_date, l_quantity AS quantity, l_extendedprice AS list_amount,
   l_discount AS discount_pct,
-  round(l_extendedprice * (1 - l_discount), 4) * (CASE WHEN l_returnflag = 'R' THEN -1.0::DOUBLE ELSE 1.0::DOUBLE END)
-    AS revenue,
-  round(l_extendedprice * 0.6::DOUBLE, 4) AS cogs,
-  round(round(l_extendedprice * (1 - l_discount), 4)
-    * (CASE WHEN l_returnflag = 'R' THEN -1.0::DOUBLE ELSE 1.0::DOUBLE END)
-    - round(l_extendedprice * 0.6::DOUBLE, 4), 4) AS gross_profit,
+  l_extendedprice * (1 - l_discount) * (CASE WHEN l_returnflag = 'R' THEN -1.0::DOUBLE ELSE 1.0::DOUBLE END) AS revenue,
+  l_extendedprice * 0.6::DOUBLE AS cogs,
+  l_extendedprice * (1 - l_discount) * (CASE WHEN l_returnflag = 'R' THEN -1.0::DOUBLE ELSE 1.0::DOUBLE END)
+    - l_extendedprice * 0.6::DOUBLE AS gross_profit,
   l_linestatus AS device_type, o_orderpriority AS payment_method, l_returnflag = 'R' AS is_returned,
   round(1 + 0.3::DOUBLE * sin((month(o_orderdate) - 3) * 3.141592653589793::DOUBLE / 6), 3) AS seasonality_factor
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
