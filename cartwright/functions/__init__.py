@@ -1,6 +1,7 @@
 """Column functions shared by the operators."""
 
 from cartwright.functions.scalars import (
+    attach_row,
     elapsed_days,
     exact_avg,
     exact_sum,
@@ -12,6 +13,7 @@ from cartwright.functions.scalars import (
 from cartwright.functions.normal import norm_cdf, two_sided_p, z_quantile
 
 __all__ = [
+    "attach_row",
     "elapsed_days",
     "exact_avg",
     "exact_sum",

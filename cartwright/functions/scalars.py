@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DAY_MICROS = 86_400_000_000
@@ -46,3 +46,8 @@ def surrogate_key(*cols: Column | str) -> Column:
     """MD5 over the field list, nulls as empty text, fields joined with a dash."""
     parts = [F.coalesce(_col(c).cast("string"), F.lit("")) for c in cols]
     return F.md5(F.concat_ws("-", *parts))
+
+
+def attach_row(df: DataFrame, row: DataFrame) -> DataFrame:
+    """Add the columns of ``row``, an aggregate without grouping and therefore exactly one row, to every row."""
+    return df.crossJoin(F.broadcast(row))

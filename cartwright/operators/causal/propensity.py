@@ -9,7 +9,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwright.functions import ratio
+from cartwright.functions import attach_row, ratio
 from cartwright.functions.tails import t_p_value
 from cartwright.operators.experiments.resample import bootstrap_sums
 from cartwright.operators.ordering import with_global_order
@@ -200,7 +200,7 @@ def ipw_att_bootstrap(
     att = ratio("wy1", "w1") - ratio("wy0", "w0")
     se = sums.agg(F.stddev_pop(att).alias("std_error"))
     point = ipw_att(units, trim)
-    return point.crossJoin(F.broadcast(se)).withColumns(
+    return attach_row(point, se).withColumns(
         {"ci_lower": F.col("att") - 1.96 * F.col("std_error"), "ci_upper": F.col("att") + 1.96 * F.col("std_error")}
     )
 

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwright.functions import ratio
+from cartwright.functions import attach_row, ratio
 from cartwright.session import materialise
 
 LIGHT_LIMIT = 1000
@@ -118,7 +118,7 @@ def frequent_pairs(transactions: DataFrame, k: int = 50, light_limit: int = LIGH
         best = F.broadcast(best).join(info, f"item_{side}")
     n = F.col("n_orders")
     return (
-        best.crossJoin(F.broadcast(total))
+        attach_row(best, total)
         .select(
             F.col("item_a").alias("product_a"),
             F.col("item_b").alias("product_b"),

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartwright.functions import attach_row
 from cartwright.session import materialise
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the partition above bit 33
@@ -115,7 +116,7 @@ def grouped_percentiles(
         "_before", F.col("_cum") - F.col("_c")
     )
     bounds = running.groupBy(*groups).agg(F.min("_before").alias("_base"), F.sum("_c").alias("_size"))
-    placed = (_attach(running, bounds, groups) if groups else running.crossJoin(F.broadcast(bounds))).select(
+    placed = (_attach(running, bounds, groups) if groups else attach_row(running, bounds)).select(
         *groups,
         F.col(value).alias("_v"),
         (F.col("_before") - F.col("_base")).alias("_from"),

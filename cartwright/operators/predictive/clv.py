@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartwright.functions import attach_row
 from cartwright.session import materialise
 
 
@@ -78,9 +79,10 @@ def predict_clv(history: DataFrame, annual_rate: float = 0.1, weeks: int = 52) -
     value = (F.col("p") * F.col("v") + f * m) / (F.col("p") + f)
     alive = probability_alive(f, F.col("recency"), F.col("T"))
     return (
-        history.crossJoin(F.broadcast(transaction_params(history).select("r", "alpha", "mean_frequency")))
-        .crossJoin(F.broadcast(spend_params(history).select("p", "v")))
-        .select(
+        attach_row(
+            attach_row(history, transaction_params(history).select("r", "alpha", "mean_frequency")),
+            spend_params(history).select("p", "v"),
+        ).select(
             "customer_id",
             expected.alias("bgnbd_expected_transactions"),
             alive.alias("prob_alive"),
@@ -105,9 +107,7 @@ def histogram(df: DataFrame, value: str, bins: int = 50) -> DataFrame:
     width = (F.col("hi") - F.col("lo")) / bins
     index = F.least(F.floor((F.col(value) - F.col("lo")) / F.nullif(width, F.lit(0.0))), F.lit(bins - 1))
     return (
-        df.select(value)
-        .crossJoin(F.broadcast(span))
-        .filter(F.col(value).isNotNull())
+        attach_row(df.select(value).filter(F.col(value).isNotNull()), span)
         .groupBy(F.coalesce(index, F.lit(0)).cast("int").alias("bin"), "lo", "hi")
         .agg(F.count(F.lit(1)).alias("n"))
         .select("bin", (F.col("lo") + width * F.col("bin")).alias("bin_start"), "n")

@@ -11,7 +11,7 @@ from pyspark.ml.regression import AFTSurvivalRegression
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwright.functions import elapsed_days
+from cartwright.functions import attach_row, elapsed_days
 from cartwright.session import materialise
 
 FEATURES = (
@@ -34,7 +34,7 @@ def survival_data(rfm: DataFrame, as_of: str) -> DataFrame:
     median = rfm.agg(F.median("recency").alias("_median"))
     t = F.col("recency") if "last_purchase" in cols else F.coalesce("recency", F.col("_median")).cast("long")
     return (
-        rfm.crossJoin(F.broadcast(median))
+        attach_row(rfm, median)
         .withColumn("T", t)
         .withColumn("E", (F.col("T") < F.col("_median") * 2).cast("int"))
         .drop("_median")
@@ -94,17 +94,20 @@ def fit_weibull(data: DataFrame, features: list[str]) -> DataFrame:
     ).alias("median_T"))
 
 
-def concordance(data: DataFrame, risk: str = "risk", slices: int = 256) -> DataFrame:
+def concordance(data: DataFrame, risk: str = "risk", slices: int | None = None) -> DataFrame:
     """Concordance index: among comparable pairs, how often the higher risk has the shorter time.
 
     Pairs are never formed. Customers collapse to (risk, time) counts laid out by risk range; each range adds its own
     counts to the day histogram of all lower ranges with a Fenwick tree over days. A censored time counts as just after
-    an event on the same day. Equal risks count one half. The histograms hold at most slices² x days / 2 rows.
+    an event on the same day. Equal risks count one half. There are up to
+    256 slices; the histograms hold at most slices² x days / 2 rows.
     """
     order = (2 * F.col("T") + (1 - F.col("E"))).cast("long")
     cells = data.select(F.col(risk).cast("double").alias("risk"), order.alias("t"), "E").groupBy("risk", "t").agg(
         F.count(F.lit(1)).alias("n"), F.sum("E").cast("long").alias("events")
     )
+    cells = materialise(cells, "risk-cells")
+    slices = slices or min(256, cells.count() // 100_000 + 1)
     laid = materialise(
         cells.repartitionByRange(slices, "risk", "t")
         .sortWithinPartitions("risk", "t")
@@ -113,9 +116,9 @@ def concordance(data: DataFrame, risk: str = "risk", slices: int = 256) -> DataF
         "concordance",
     )
     per_part = laid.groupBy("part", "t").agg(F.sum("n").alias("n"))
-    parts = laid.select(F.col("part").alias("later")).distinct()
     below = (
-        per_part.join(F.broadcast(parts), F.col("part") < F.col("later"))
+        per_part.filter(F.col("part") < slices - 1)
+        .withColumn("later", F.explode(F.sequence(F.col("part") + 1, F.lit(slices - 1).cast("long"))))
         .groupBy("later", "t")
         .agg(F.sum("n").alias("n"))
         .select(F.col("later").alias("part"), F.col("t").alias("t"), F.col("n").alias("n"))
@@ -159,12 +162,10 @@ def concordance(data: DataFrame, risk: str = "risk", slices: int = 256) -> DataF
     later_days = Window.orderBy(F.desc("t")).rowsBetween(Window.unboundedPreceding, -1)
     per_day = cells.groupBy("t").agg(F.sum("n").alias("n"), F.sum("events").alias("events"))
     pairs = per_day.withColumn("later", F.coalesce(F.sum("n").over(later_days), F.lit(0)))
-    return (
-        won.agg(F.sum("won").alias("concordant"))
-        .crossJoin(tied.agg(F.sum(F.col("events") * F.col("later")).cast("double").alias("tied")))
-        .crossJoin(pairs.agg(F.sum(F.col("events") * F.col("later")).cast("double").alias("comparable")))
-        .withColumn(
-            "concordance_index",
-            (F.col("concordant") + F.col("tied") / 2) / F.nullif(F.col("comparable"), F.lit(0.0)),
-        )
+    count_later = F.sum(F.col("events") * F.col("later")).cast("double")
+    totals = attach_row(won.agg(F.sum("won").alias("concordant")), tied.agg(count_later.alias("tied")))
+    totals = attach_row(totals, pairs.agg(count_later.alias("comparable")))
+    return totals.withColumn(
+        "concordance_index",
+        (F.col("concordant") + F.col("tied") / 2) / F.nullif(F.col("comparable"), F.lit(0.0)),
     )

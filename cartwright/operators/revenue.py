@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwright.functions import exact_avg, exact_sum, month_index, percent, ratio
+from cartwright.functions import attach_row, exact_avg, exact_sum, month_index, percent, ratio
 from cartwright.operators.ordering import grouped_percentiles, with_global_order
 from cartwright.operators.rfm import ntile_descending
 from cartwright.session import materialise
@@ -148,8 +148,7 @@ def segment_migration(rfm: DataFrame, width: float = 0.3) -> DataFrame:
     edge = rfm.agg(F.percentile("RFM_composite", F.lit(0.75)).alias("_p75"))
     close = F.col("RFM_composite").between(F.col("_p75") - width, F.col("_p75"))
     return (
-        rfm.select("segment", "RFM_composite", "clv_12m")
-        .crossJoin(F.broadcast(edge))
+        attach_row(rfm.select("segment", "RFM_composite", "clv_12m"), edge)
         .groupBy("segment")
         .agg(
             F.count(F.lit(1)).alias("n_customers"),
@@ -388,7 +387,7 @@ def clv_concentration(rfm: DataFrame) -> DataFrame:
     amounts = rfm.select("customer_id", F.col("clv_12m").cast("decimal(18,4)").alias("_clv"))
     ordered = with_global_order(amounts, [F.desc("_clv"), "customer_id"], sums={"_cum": "_clv"})
     totals = ordered.agg(F.sum("_clv").alias("_total"), F.count(F.lit(1)).alias("_n"))
-    return ordered.crossJoin(F.broadcast(totals)).select(
+    return attach_row(ordered, totals).select(
         "customer_id",
         F.round(F.col("_cum").cast("double") / F.nullif(F.col("_total").cast("double"), F.lit(0.0)) * 100, 6).alias(
             "cum_revenue_pct"

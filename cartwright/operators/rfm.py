@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwright.functions import elapsed_days, exact_avg, exact_sum, ratio
+from cartwright.functions import attach_row, elapsed_days, exact_avg, exact_sum, ratio
 from cartwright.operators.ordering import rows_at_ranks
 from cartwright.operators.segments import SHORT_LABELS, projected_clv, segment_by_scores
 from cartwright.session import materialise
@@ -50,26 +50,32 @@ def rfm_base(transactions: DataFrame, snapshot: str) -> DataFrame:
     )
 
 
-def _bin_number(df: DataFrame, value: str, key: str, bins: int, n: int) -> Column:
-    """Equal-count bin 1..bins of the rank over (value, key), as a comparison with the ``bins - 1`` boundary rows.
+def equal_count_scores(df: DataFrame, scores: dict[str, str], key: str, bins: int = QUINTILES) -> DataFrame:
+    """Add ``{score column: value column}``: equal-count bins 1..bins of the rank over (value, key).
 
-    Only the boundary rows reach the driver; scoring the table is then a projection without a shuffle.
+    All values are ranked in one layout, metric after metric. Only the ``bins - 1`` boundary rows per score reach the
+    driver; scoring the table is then a projection without a shuffle. ``df`` is read several times: pass a written one.
     """
-    cuts = [1 + j * (n - 1) // bins for j in range(1, bins)]
-    at = rows_at_ranks(df.select(value, key), [value, key], cuts)
-    out = F.lit(1)
-    for rank in cuts:
-        v, k = F.lit(at[rank][value]), F.lit(at[rank][key])
-        out = out + ((F.col(value) > v) | ((F.col(value) == v) & (F.col(key) > k))).cast("int")
-    return out
-
-
-def equal_count_scores(df: DataFrame, scores: dict[str, str], key: str, bins: int = QUINTILES) -> DataFrame:
-    """Add ``{score column: value column}`` bins of first-come ranks. ``df`` is read several times: pass a written one."""
     n = df.count()
     if n == 0:
         return df.withColumns({name: F.lit(None).cast("int") for name in scores})
-    return df.withColumns({name: _bin_number(df, value, key, bins, n) for name, value in scores.items()})
+    values = list(scores.values())
+    stacked = df.select(
+        key,
+        F.posexplode(F.array(*[F.col(v).cast("double") for v in values])).alias("metric", "value"),
+    )
+    cuts = [1 + j * (n - 1) // bins for j in range(1, bins)]
+    at = rows_at_ranks(stacked, ["metric", "value", key], [m * n + c for m in range(len(values)) for c in cuts])
+    out = {}
+    for m, (name, value) in enumerate(scores.items()):
+        score = F.lit(1)
+        for c in cuts:
+            row = at[m * n + c]
+            x, k = F.col(value).cast("double"), F.col(key)
+            beyond = (x > F.lit(row["value"])) | ((x == F.lit(row["value"])) & (k > F.lit(row[key])))
+            score = score + beyond.cast("int")
+        out[name] = score
+    return df.withColumns(out)
 
 
 def ntile_descending(df: DataFrame, value: str, key: str, tiles: int, name: str) -> DataFrame:
@@ -96,7 +102,7 @@ def recency_score(df: DataFrame, bins: int = QUINTILES) -> DataFrame:
     score = F.lit(bins)
     for flag in above:
         score = score - flag
-    return df.crossJoin(F.broadcast(edges)).withColumn("R_score", score).drop("_edges")
+    return attach_row(df, edges).withColumn("R_score", score).drop("_edges")
 
 
 def rfm_scored(transactions: DataFrame, snapshot: str) -> DataFrame:
@@ -184,6 +190,6 @@ def minmax_profiles(profiles: DataFrame, columns: Sequence[str], inverted: Seque
         lo, hi = F.col(f"_lo_{c}"), F.col(f"_hi_{c}")
         unit = F.coalesce(ratio(F.col(c) - lo, hi - lo), F.lit(0.0))
         scaled[c] = 1 - unit if c in inverted else unit
-    return profiles.crossJoin(F.broadcast(spans)).select(
+    return attach_row(profiles, spans).select(
         "segment", *[F.round(expr, 6).alias(c) for c, expr in scaled.items()]
     )

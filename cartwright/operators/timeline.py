@@ -7,18 +7,17 @@ from pyspark.sql import functions as F
 
 
 def as_of_join(
-    facts: DataFrame, features: DataFrame, key: str, fact_time: str, feature_time: str, slice_days: int = 30
+    facts: DataFrame, features: DataFrame, key: str, fact_time: str, feature_time: str, slice_seconds: int = 600
 ) -> DataFrame:
     """Left as-of join: the latest feature row of the key at or before the fact's time.
 
     Both sides meet in (key, time slice) groups, so a key with most rows is split along time. What enters a slice from
-    earlier ones is a single carried feature row per (key, slice).
+    earlier ones is a single carried feature row per (key, slice). Only slices that hold rows exist, so short slices
+    cost little: a key has at most as many as it has rows or as fit the calendar.
     """
     values = [c for c in features.columns if c not in (key, feature_time)]
-    width = slice_days * 86_400
-
     def time_slice(c: str) -> Column:
-        return F.floor(F.unix_seconds(F.col(c).cast("timestamp")) / width)
+        return F.floor(F.unix_seconds(F.col(c).cast("timestamp")) / slice_seconds)
 
     payload = F.struct(F.col(feature_time).cast("timestamp").alias("at"), *values)
     feats = features.filter(F.col(feature_time).isNotNull()).select(

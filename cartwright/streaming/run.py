@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from cartwright.session import scratch_root
 
@@ -22,7 +23,7 @@ def to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append"
     query.awaitTermination()
 
 
-def upsert(stream: DataFrame, path: str, checkpoint: str, keys: list[str]) -> None:
+def upsert(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Update-mode result kept as versions ``path/batch=N`` of changed rows; readers take the last version per key."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -41,8 +42,6 @@ def upsert(stream: DataFrame, path: str, checkpoint: str, keys: list[str]) -> No
 
 def latest(df: DataFrame, keys: list[str]) -> DataFrame:
     """Last version per key of a table written by :func:`upsert`."""
-    from pyspark.sql import functions as F
-
     rest = [c for c in df.columns if c not in (*keys, "batch")]
     newest = F.max(F.struct("batch", *rest)).alias("v")
     return df.groupBy(*keys).agg(newest).select(*keys, *[F.col(f"v.{c}") for c in rest])
@@ -53,7 +52,7 @@ def drain(stream: DataFrame, mode: str = "append", keys: list[str] | None = None
     spark = stream.sparkSession
     base = f"{scratch_root(spark)}/cartwright/stream-{uuid.uuid4().hex}"
     if mode == "update":
-        upsert(stream, f"{base}/out", f"{base}/checkpoint", keys or [])
+        upsert(stream, f"{base}/out", f"{base}/checkpoint")
         return latest(spark.read.parquet(f"{base}/out"), keys or [])
     to_table(stream, f"{base}/out", f"{base}/checkpoint", mode)
     return spark.read.schema(stream.schema).parquet(f"{base}/out")

@@ -216,7 +216,7 @@ def _(spark, d):
     views = events.filter("event_type = 'view'").select(
         "user_id", F.col("ts").alias("at"), "value", F.col("event_id").alias("view_id")
     )
-    out = L.as_of_join(facts, views, "user_id", "ts", "at", slice_days=3)
+    out = L.as_of_join(facts, views, "user_id", "ts", "at")
     return out.withColumn("feature_time", F.col("feature_time").cast("timestamp_ntz"))
 
 
