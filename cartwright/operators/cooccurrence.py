@@ -1,111 +1,68 @@
-"""Weighted co-occurrence of items over groups (orders, customers): sums of w_a * w_b for every pair sharing a group.
+"""Items found together in the same group (order, customer).
 
-Small groups go through a self-join, at most ``light_limit`` partners per row. A large group would square its size
-there, so large groups are multiplied as blocks instead: items hash to blocks, each task multiplies two item blocks over
-a bounded set of groups and returns summed cells. Both parts are complete; nothing is capped or dropped.
+Small groups go through a self-join, at most ``light_limit`` partners per row. A large group would square its size there, so
+large groups are only ever multiplied block by block (``blocks``), which returns the best candidates. Nothing is capped.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwright.functions import attach_row, ratio
+from cartwright.operators.blocks import best_partners
 from cartwright.session import materialise
 
 LIGHT_LIMIT = 1000
-BLOCK_ITEMS = 512
-CHUNK_GROUPS = 256
 
 
-def _split_by_size(cells: DataFrame, group: str, light_limit: int) -> tuple[DataFrame, DataFrame, int]:
-    """Cells of groups within the limit, cells of larger ones, and how many larger groups there are."""
+def split_by_size(cells: DataFrame, group: str, light_limit: int = LIGHT_LIMIT) -> tuple[DataFrame, DataFrame | None]:
+    """Cells of groups within the limit and, if there are any, cells of larger groups."""
     large = cells.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > light_limit).select(group)
     large = materialise(large, "large-groups")
-    n_large = large.count()
-    if n_large == 0:
-        return cells, cells.limit(0), 0
-    return cells.join(large, group, "left_anti"), cells.join(large, group, "left_semi"), n_large
+    if large.isEmpty():
+        return cells, None
+    return cells.join(large, group, "left_anti"), cells.join(large, group, "left_semi")
 
 
-def _self_join(cells: DataFrame, group: str, item: str, weight: str) -> DataFrame:
+def light_pairs(cells: DataFrame, group: str, item: str, weight: str) -> DataFrame:
+    """item_a < item_b and ``dot``, the sum of w_a * w_b over common groups; for groups of limited size."""
     a = cells.select(group, F.col(item).alias("item_a"), F.col(weight).alias("_wa"))
     b = cells.select(F.col(group).alias("_g"), F.col(item).alias("item_b"), F.col(weight).alias("_wb"))
     pairs = a.join(b, (F.col(group) == F.col("_g")) & (F.col("item_a") < F.col("item_b")))
     return pairs.groupBy("item_a", "item_b").agg(F.sum(F.col("_wa") * F.col("_wb")).alias("dot"))
 
 
-def _block_product(cells: DataFrame, group: str, item: str, weight: str, n_groups: int) -> DataFrame:
-    blocks = -(-cells.select(item).distinct().count() // BLOCK_ITEMS) or 1
-    chunks = -(-n_groups // CHUNK_GROUPS)
-    own = F.pmod(F.xxhash64(item), F.lit(blocks)).cast("int")
-    placed = cells.select(
-        F.col(group).alias("g"), F.col(item).alias("i"), F.col(weight).cast("double").alias("w"), own.alias("own")
-    ).withColumn("chunk", F.pmod(F.xxhash64("g"), F.lit(chunks)).cast("int"))
-    # Every block meets every other once; a cell is copied once per block, not once per partner.
-    routed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumns(
-        {"bi": F.least("own", "other"), "bj": F.greatest("own", "other")}
-    )
-
-    def multiply(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        bi, bj, _ = key
-        groups = {g: k for k, g in enumerate(rows["g"].unique())}
-
-        def dense(part: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-            items, at = np.unique(part["i"].to_numpy(), return_inverse=True)
-            m = np.zeros((len(groups), len(items)))
-            m[part["g"].map(groups).to_numpy(), at] = part["w"].to_numpy()
-            return items, m
-
-        left_items, left = dense(rows[rows["own"] == bi])
-        right_items, right = (left_items, left) if bi == bj else dense(rows[rows["own"] == bj])
-        product = left.T @ right
-        at_left, at_right = np.nonzero(product)
-        a, b, dot = left_items[at_left], right_items[at_right], product[at_left, at_right]
-        if bi == bj:
-            keep = a < b
-            a, b, dot = a[keep], b[keep], dot[keep]
-        return pd.DataFrame({"item_a": np.minimum(a, b), "item_b": np.maximum(a, b), "dot": dot})
-
-    kind = cells.schema[item].dataType.simpleString()
-    schema = f"item_a {kind}, item_b {kind}, dot double"
-    return routed.groupBy("bi", "bj", "chunk").applyInPandas(multiply, schema)
-
-
-def pair_sums(cells: DataFrame, group: str, item: str, weight: str, light_limit: int = LIGHT_LIMIT) -> DataFrame:
-    """item_a < item_b and ``dot``. ``cells`` is unique on (group, item) with positive weights, and is read more than
-    once: pass a written table."""
-    light, heavy, n_heavy = _split_by_size(cells, group, light_limit)
-    sums = _self_join(light, group, item, weight)
-    if n_heavy == 0:
-        return sums
-    blocks = _block_product(heavy, group, item, weight, n_heavy)
-    both = sums.withColumn("dot", F.col("dot").cast("double")).unionByName(blocks)
-    return both.groupBy("item_a", "item_b").agg(F.sum("dot").alias("dot"))
-
-
 def frequent_pairs(transactions: DataFrame, k: int = 50, light_limit: int = LIGHT_LIMIT) -> DataFrame:
     """The ``k`` product pairs found together in most orders, ties by product ids, with support, confidence and lift.
 
-    Large orders only matter for products that can still reach the list: a pair cannot occur more often than its rarer
-    product, so products in fewer orders than the k-th pair of the small orders are left out of the block products.
-    Category is taken as an attribute of the product.
+    A pair cannot occur more often than its rarer product: products in fewer orders than the k-th pair of the small orders
+    has are left out of the block products. Category is taken as an attribute of the product.
     """
     lines = transactions.filter(F.col("revenue") > 0)
-    baskets = materialise(lines.select("order_id", "product_id").distinct().withColumn("one", F.lit(1)), "baskets")
-    light, heavy, n_heavy = _split_by_size(baskets, "order_id", light_limit)
-    counts = _self_join(light, "order_id", "product_id", "one").withColumn("dot", F.col("dot").cast("double"))
+    baskets = materialise(lines.select("order_id", "product_id").distinct().withColumn("one", F.lit(1.0)), "baskets")
+    light, heavy = split_by_size(baskets, "order_id", light_limit)
+    counts = light_pairs(light, "order_id", "product_id", "one")
     in_orders = baskets.groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))
     ranking = [F.desc("dot"), F.col("item_a"), F.col("item_b")]
-    if n_heavy:
+    if heavy is not None:
         counts = materialise(counts, "light-pairs")
         top = counts.orderBy(*ranking).limit(k).agg(F.min("dot").alias("m"), F.count(F.lit(1)).alias("c")).first()
         floor = top["m"] if top["c"] == k else 0
         reachable = in_orders.filter(F.col("n") >= floor).select("product_id")
-        blocks = _block_product(heavy.join(reachable, "product_id", "left_semi"), "order_id", "product_id", "one", n_heavy)
-        counts = counts.unionByName(blocks).groupBy("item_a", "item_b").agg(F.sum("dot").alias("dot"))
+        heavy = materialise(heavy.join(reachable, "product_id", "left_semi"), "heavy-baskets")
+        inside = heavy.select(F.col("product_id").alias("item_a")).distinct()
+        known = counts.join(inside, "item_a", "left_semi").join(
+            inside.select(F.col("item_a").alias("item_b")), "item_b", "left_semi"
+        )
+        cells = heavy.select(F.col("order_id").alias("k"), F.col("product_id").alias("id"), F.col("one").alias("w"))
+        addends = known.select(F.col("item_a").alias("l"), F.col("item_b").alias("r"), F.col("dot").alias("v"))
+        both = best_partners(cells, cells, k, addends, per_left=False)
+        # A pair with a large order in it shows up with its small-order count too; the full count is the larger.
+        counts = counts.orderBy(*ranking).limit(k).unionByName(
+            both.select(F.col("l").alias("item_a"), F.col("r").alias("item_b"), F.col("score").alias("dot"))
+        )
+        counts = counts.groupBy("item_a", "item_b").agg(F.max("dot").alias("dot"))
     best = counts.orderBy(*ranking).limit(k)
 
     # k rows from here on, against per-product aggregates.

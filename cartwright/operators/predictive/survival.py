@@ -83,14 +83,17 @@ def fit_weibull(data: DataFrame, features: list[str]) -> DataFrame:
     filled = data.fillna(0, subset=features).withColumns({c: F.col(c).cast("double") for c in features})
     rows = filled.filter(F.col("T") > 0).withColumns({"label": F.col("T").cast("double"), "censor": F.col("E").cast("double")})
     rows = materialise(rows, "aft")
+    # Times are fitted in units of their mean, which keeps the optimiser's steps in range.
+    unit = rows.agg(F.avg("label")).first()[0]
+    rows = rows.withColumn("label", F.col("label") / unit)
     vectors = VectorAssembler(inputCols=features, outputCol="_raw")
     scaler = StandardScaler(inputCol="_raw", outputCol="features", withMean=True).fit(vectors.transform(rows))
     train = scaler.transform(vectors.transform(rows)).select("label", "censor", "features")
     model = AFTSurvivalRegression(quantileProbabilities=[0.5], maxIter=100).fit(train)
     scored = model.transform(scaler.transform(vectors.transform(filled)))
     keep = [c for c in filled.columns]
-    return scored.select(*keep, F.col("prediction").alias("weibull_scale"), (
-        F.col("prediction") * F.lit(float(np.log(2.0)) ** model.scale)
+    return scored.select(*keep, (F.col("prediction") * unit).alias("weibull_scale"), (
+        F.col("prediction") * unit * F.lit(float(np.log(2.0)) ** model.scale)
     ).alias("median_T"))
 
 

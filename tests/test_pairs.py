@@ -1,13 +1,14 @@
 """Co-occurrence, recommendations and neighbours against brute force, with one group holding a third of all rows."""
 
-from itertools import combinations
+from itertools import combinations, permutations
 
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from cartwright.operators.cooccurrence import frequent_pairs, pair_sums
+from cartwright.operators import blocks
+from cartwright.operators.cooccurrence import frequent_pairs
 from cartwright.operators.predictive import recommend as R
 from cartwright.session import materialise
 
@@ -32,21 +33,31 @@ def brute_pairs(pdf):
     return out
 
 
-@pytest.mark.parametrize("limit", [3, 10, 1000])
-@pytest.mark.parametrize("small_blocks", [True, False])
-def test_pair_sums_are_complete(spark, limit, small_blocks, monkeypatch):
-    from cartwright.operators import cooccurrence
+@pytest.fixture(params=[7, 512])
+def block_size(request, monkeypatch):
+    monkeypatch.setattr(blocks, "BLOCK_IDS", request.param)
+    return request.param
+
 
-    if small_blocks:
-        monkeypatch.setattr(cooccurrence, "BLOCK_ITEMS", 7)
-        monkeypatch.setattr(cooccurrence, "CHUNK_GROUPS", 5)
+@pytest.mark.parametrize("limit", [3, 10, 1000])
+def test_similar_items_are_complete(spark, limit, block_size):
     pdf = baskets()
-    got = pair_sums(materialise(spark.createDataFrame(pdf)), "user", "item", "w", limit)
-    assert {(r["item_a"], r["item_b"]): r["dot"] for r in got.collect()} == brute_pairs(pdf)
+    m = pdf.pivot(index="user", columns="item", values="w").fillna(0).to_numpy()
+    unit = m / np.linalg.norm(m, axis=0)
+    want = unit.T @ unit
+    np.fill_diagonal(want, 0)
+    cells = materialise(spark.createDataFrame(pdf))
+    got = R.similar_items(R.item_similarity(cells, limit), n=5).toPandas()
+    assert len(got) == 5 * want.shape[0]
+    for i, part in got.groupby("item"):
+        rounded = np.floor(want[i] * 1e7 + 0.5)
+        top = sorted(range(len(rounded)), key=lambda j: (-rounded[j], j))[:5]
+        assert part.sort_values("rank")["other"].tolist() == top
+        assert np.allclose(part.sort_values("rank")["similarity"], want[i][top], atol=1e-7)
 
 
 @pytest.mark.parametrize("limit", [3, 1000])
-def test_frequent_pairs(spark, limit):
+def test_frequent_pairs(spark, limit, block_size):
     pdf = baskets(seed=4).assign(w=1.0)
     txn = spark.createDataFrame(pdf).select(
         F.col("user").alias("order_id"), F.col("item").alias("product_id"), F.lit("c").alias("category"), F.lit(1.0).alias("revenue")
@@ -60,20 +71,25 @@ def test_frequent_pairs(spark, limit):
     assert first["confidence"] == pytest.approx(first["co_occurrences"] / freq[first["product_a"]])
 
 
-def test_scores_match_dense_computation(spark):
+@pytest.mark.parametrize("limit", [2, 10, 1000])
+@pytest.mark.parametrize("exclude", [True, False])
+def test_scores_match_dense_computation(spark, limit, exclude, block_size):
     pdf = baskets(seed=2)
     cells = materialise(spark.createDataFrame(pdf))
     m = pdf.pivot(index="user", columns="item", values="w").fillna(0)
     a = m.to_numpy()
     unit = a / np.linalg.norm(a, axis=0)
     scores = a @ (unit.T @ unit) / ((a > 0).sum(axis=1, keepdims=True) + 1)
-    scores[a > 0] = -np.inf
-    got = R.score_users(cells, R.item_similarity(cells, light_limit=10), n=3).toPandas()
+    if exclude:
+        scores[a > 0] = -np.inf
+    got = R.score_users(cells, R.item_similarity(cells, limit), n=3, exclude_purchased=exclude).toPandas()
+    full = ((scores > 0).sum(axis=1).clip(max=3)).sum()
+    assert len(got) == full
     for row in got.itertuples():
         u = m.index.get_loc(row.user)
         assert row.score == pytest.approx(scores[u, m.columns.get_loc(row.item)], abs=1e-6)
         assert row.score >= np.sort(scores[u])[::-1][row.rank - 1] - 1e-6
-    assert 1000 not in set(got["user"])  # bought everything
+    assert (1000 in set(got["user"])) != exclude  # bought everything
 
 
 def test_cold_start_gets_popular_items(spark):
@@ -86,8 +102,7 @@ def test_cold_start_gets_popular_items(spark):
     assert not got[got.user == 0]["cold_start"].any()
 
 
-def test_neighbours_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(R, "BLOCK_ITEMS", 6)
+def test_neighbours_in_blocks(spark, block_size):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(25, 4))
     features = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "item long, features array<double>")
@@ -97,7 +112,10 @@ def test_neighbours_in_blocks(spark, monkeypatch):
     want[0, 1] += 0.5
     want[1, 0] += 0.5
     np.fill_diagonal(want, -np.inf)
-    got = R.blended_neighbours(features, sims, 0.5, n=3).toPandas()
+    heavy = spark.createDataFrame([(9, 4, 0.6), (9, 5, 0.5), (9, 6, 0.4)], "user long, item long, w double")
+    for (i, x_i), (j, x_j) in permutations({4: 0.6, 5: 0.5, 6: 0.4}.items(), 2):
+        want[i, j] += 0.5 * x_i * x_j
+    got = R.blended_neighbours(features, R.Similarity(sims, heavy), 0.5, n=3).toPandas()
     for i, part in got.groupby("item"):
         assert part.sort_values("rank")["other"].tolist() == np.argsort(-want[i])[:3].tolist()
 
