@@ -19,20 +19,34 @@ QUINTILES = 5
 def rfm_base(transactions: DataFrame, snapshot: str) -> DataFrame:
     """One row per customer from positive-amount lines.
 
-    All aggregates but the order count combine on the map side; the exact order count adds one (customer, order) level,
-    which also spreads a customer holding most rows over tasks. The category set is bounded by the product taxonomy.
+    Lines fold to (customer, order) first, then to the customer, so orders are counted exactly by plain hash aggregates and
+    a customer holding most lines is spread over tasks by order. Categories are a second, two-column pass; both results are
+    already partitioned by customer when they meet.
     """
     txn = resolve_aliases(transactions).filter(F.col("revenue") > 0).dropna(subset=["customer_id"])
     at = F.lit(snapshot).cast("timestamp")
-    base = txn.groupBy("customer_id").agg(
+    orders = txn.groupBy("customer_id", "order_id").agg(
         F.max("transaction_date").alias("last_purchase"),
         F.min("transaction_date").alias("first_purchase"),
-        F.count_distinct("order_id").alias("frequency"),
-        exact_sum("revenue").alias("monetary"),
-        exact_avg("revenue").alias("avg_order_value"),
-        exact_sum("quantity").alias("total_items"),
-        F.size(F.collect_set("category")).alias("distinct_categories"),
+        F.sum(F.col("revenue").cast("decimal(18,4)")).alias("amount"),
+        F.count(F.lit(1)).alias("lines"),
+        F.sum(F.col("quantity").cast("decimal(18,4)")).alias("items"),
+    )
+    customers = orders.groupBy("customer_id").agg(
+        F.max("last_purchase").alias("last_purchase"),
+        F.min("first_purchase").alias("first_purchase"),
+        F.count("order_id").alias("frequency"),
+        F.sum("amount").cast("double").alias("monetary"),
+        (F.sum("amount").cast("double") / F.sum("lines")).alias("avg_order_value"),
+        F.sum("items").cast("double").alias("total_items"),
+    )
+    categories = (
+        txn.select("customer_id", "category")
+        .distinct()
+        .groupBy("customer_id")
+        .agg(F.count("category").cast("int").alias("distinct_categories"))
     )
+    base = customers.join(categories, "customer_id")
     base = base.withColumns(
         {
             "recency": elapsed_days(at, "last_purchase"),

@@ -44,6 +44,14 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_scratch[app]
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new folder under the scratch root, remembered for :func:`release`."""
+    app = spark.sparkContext.applicationId
+    path = f"{scratch_root(spark)}/cartwright/{app}/{label}-{uuid.uuid4().hex}"
+    _written.setdefault(app, []).append(path)
+    return path
+
+
 def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once and read it back.
 
@@ -51,10 +59,8 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     the input a single time and keeps column pruning and filter pushdown for its readers.
     """
     spark = df.sparkSession
-    app = spark.sparkContext.applicationId
-    path = f"{scratch_root(spark)}/cartwright/{app}/{label}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, label)
     df.write.parquet(path)
-    _written.setdefault(app, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwright.session import scratch_root
+from cartwright.session import scratch_path
 
 
 def to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
@@ -50,7 +48,7 @@ def latest(df: DataFrame, keys: list[str]) -> DataFrame:
 def drain(stream: DataFrame, mode: str = "append", keys: list[str] | None = None) -> DataFrame:
     """Run a stream over the available input and return its result as a table."""
     spark = stream.sparkSession
-    base = f"{scratch_root(spark)}/cartwright/stream-{uuid.uuid4().hex}"
+    base = scratch_path(spark, "stream")
     if mode == "update":
         upsert(stream, f"{base}/out", f"{base}/checkpoint")
         return latest(spark.read.parquet(f"{base}/out"), keys or [])

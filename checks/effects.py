@@ -290,6 +290,12 @@ def _(spark, d):
     return model.with_risk(data).select("customer_id", "T", "E", "risk", "median_T")
 
 
+@query("cox_survival_grid")
+def _(spark, d):
+    data, model = _cox(spark, d)
+    return model.survival_at(data, "customer_id")
+
+
 @query("cox_concordance")
 def _(spark, d):
     data, model = _cox(spark, d)
