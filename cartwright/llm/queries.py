@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright.llm import decontaminate, html_extract, mixing, sql, url_filter
+from cartwright.llm import decontaminate, html_extract, line_dedup, mixing, near_dup, quality, sql, token_count, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,9 +47,54 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(_table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op4_decontaminate, op8_mixing, op9_html_text)}
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.count_tokens(_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.repeated_units(_table(spark, sf_dir, "documents"))
+    spans = F.transform("removed", lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string")))
+    return found.select("doc_id", "n_units", "n_removed", F.concat_ws(",", spans).alias("removed_spans"))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.score_documents(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), quality.learnable()
+    )
+    return scored.select(
+        "doc_id",
+        (~quality.learnable("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_url_filter,
+        op2_near_duplicates,
+        op4_decontaminate,
+        op6_token_counts,
+        op7_line_dedup,
+        op8_mixing,
+        op9_html_text,
+        op10_quality,
+    )
+}
 ORACLES = {
     "op1_url_filter": sql.URLS,
     "op4_decontaminate": sql.DECONTAMINATE,
+    "op7_line_dedup": sql.LINES,
     "op8_mixing": sql.MIXING,
 }

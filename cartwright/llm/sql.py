@@ -104,3 +104,18 @@ WITH s AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^
     k AS (SELECT doc_id, count(*) AS copies FROM m, (SELECT sum(target) AS budget FROM tgt) WHERE mixed <= budget GROUP BY doc_id)
 SELECT doc_id, size, source_size, target, (coalesce(copies, 0) * size)::BIGINT AS taken FROM q LEFT JOIN k USING (doc_id)
 """
+
+_NORMAL = _FOLD.format(r"trim(regexp_replace(part, '[\x20\x09-\x0D]+', ' ', 'g'))")
+
+LINES = f"""
+WITH p AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS part, generate_subscripts(string_split(text, chr(10)), 1) AS u
+      FROM documents WHERE text IS NOT NULL),
+    n AS (SELECT doc_id, u, length(part) AS len, {_NORMAL} AS norm FROM p),
+    o AS (SELECT *, sum(len + 1) OVER (PARTITION BY doc_id ORDER BY u) - len - 1 AS start,
+      CASE WHEN norm = '' THEN 0 ELSE len(string_split(norm, ' ')) END AS words FROM n),
+    r AS (SELECT *, CASE WHEN words >= 5 THEN row_number() OVER (PARTITION BY words >= 5, norm ORDER BY doc_id, u) ELSE 1 END AS rank
+      FROM o)
+SELECT doc_id, count(*)::BIGINT AS n_units, count(*) FILTER (rank > 1)::BIGINT AS n_removed,
+    coalesce(string_agg(start::BIGINT || '-' || (start + len)::BIGINT, ',' ORDER BY u) FILTER (rank > 1), '') AS removed_spans
+FROM r GROUP BY doc_id
+"""
