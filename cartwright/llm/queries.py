@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright.llm import decontaminate, html_extract, line_dedup, mixing, near_dup, quality, sql, token_count, url_filter
+from cartwright.llm import decontaminate, html_extract, jaccard_join, line_dedup, mixing, near_dup, quality, sql
+from cartwright.llm import token_count, token_store, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +58,17 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"))
+
+
+def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store, listed = token_store.write_store(
+        _table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json")
+    )
+    return token_store.store_digests(store, listed)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
@@ -84,7 +96,9 @@ QUERIES = {
     for f in (
         op1_url_filter,
         op2_near_duplicates,
+        op3_jaccard_join,
         op4_decontaminate,
+        op5_token_store,
         op6_token_counts,
         op7_line_dedup,
         op8_mixing,
@@ -94,6 +108,7 @@ QUERIES = {
 }
 ORACLES = {
     "op1_url_filter": sql.URLS,
+    "op3_jaccard_join": sql.JACCARD,
     "op4_decontaminate": sql.DECONTAMINATE,
     "op7_line_dedup": sql.LINES,
     "op8_mixing": sql.MIXING,

@@ -119,3 +119,20 @@ SELECT doc_id, count(*)::BIGINT AS n_units, count(*) FILTER (rank > 1)::BIGINT A
     coalesce(string_agg(start::BIGINT || '-' || (start + len)::BIGINT, ',' ORDER BY u) FILTER (rank > 1), '') AS removed_spans
 FROM r GROUP BY doc_id
 """
+
+JACCARD = f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_FOLD.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+    s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+      ELSE list_transform(range(1, len(w) - 1), lambda k: array_to_string(w[k:k + 2], ' ')) END) AS g FROM w),
+    n AS (SELECT doc_id, len(g)::BIGINT AS n FROM s),
+    e AS (SELECT doc_id, unnest(g) AS x FROM s),
+    f AS (SELECT x FROM e GROUP BY x HAVING count(*) > 1),
+    e2 AS (SELECT e.* FROM e JOIN f USING (x)),
+    o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM e2 a JOIN e2 b ON a.x = b.x AND a.doc_id < b.doc_id
+      GROUP BY ALL),
+    l AS (SELECT a, b FROM o JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * both >= 90 * (p.n + q.n - both)),
+    u AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+    r(doc_id, root) AS (SELECT doc_id, doc_id FROM n UNION SELECT u.b, r.root FROM r JOIN u ON u.a = r.doc_id WHERE r.root < u.b)
+SELECT n.doc_id AS doc_id, n AS n_shingles, low AS component_id
+FROM n JOIN (SELECT doc_id, min(root) AS low FROM r GROUP BY doc_id) m ON n.doc_id = m.doc_id
+"""
