@@ -216,7 +216,8 @@ def _search(docs: DataFrame, dealt: DataFrame, width: int, num: int, den: int) -
             eb.append(b)
         return pa.table({"a": pa.array(np.concatenate(ea)), "b": pa.array(np.concatenate(eb))})
 
-    rows = docs.join(dealt, docs["doc"] == dealt["rep"]).select("rep", "cluster", "task", "part", "role", "text")
+    # Texts are dealt by key at every size, so that the work grows as it does on small inputs.
+    rows = docs.join(dealt.hint("merge"), docs["doc"] == dealt["rep"]).select("rep", "cluster", "task", "part", "role", "text")
     return materialise(rows.groupBy("task").applyInArrow(run, "a long, b long"), "verified")
 
 

@@ -21,6 +21,7 @@ apart by their order in the store; null keys come first; an empty table gives an
 from __future__ import annotations
 
 import io
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -35,7 +36,8 @@ from pyspark.sql import functions as F
 from cartwright.llm.common import mix64
 from cartwright.session import materialise, scratch_path
 
-_MEMO = 500_000  # encoded chunks kept; a full table is started anew
+_MARK = re.compile(r"(?<=[^\W\d_])[.,](?= |$)")
+_MEMO = 800_000  # encoded chunks kept; a full table is started anew
 
 
 # --- encoding -----------------------------------------------------------------------------------------------------------------
@@ -50,17 +52,44 @@ class ChunkEncoder:
         self._tokenizer = Tokenizer.from_file(tokenizer_file)
         self.dtype = np.dtype("<u2" if self._tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self._memo: dict[str, bytes] = {"": b""}
+        self._ends = np.zeros(self._tokenizer.get_vocab_size(), bool)
+        for piece, i in self._tokenizer.get_vocab().items():
+            self._ends[i] = piece.endswith("</w>")
+
+    @staticmethod
+    def _chunks(text: str) -> list[str]:
+        # Only these three split chunks here; other white space stays inside a chunk for the library to drop.
+        text = text.replace("\n", " ").replace("\t", " ")
+        if "<|" not in text:  # special tokens are told by case
+            try:
+                text.encode("latin-1")
+            except UnicodeEncodeError:
+                return text.split(" ")
+            # In Latin-1 the normaliser only folds case, and a mark between a letter and a space is a piece of its own.
+            text = _MARK.sub(r" \g<0>", text.lower())
+        return text.split(" ")
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Raw ids of each text, without special tokens."""
-        # Only these three split chunks here; other white space stays inside a chunk for the library to drop.
-        split = [(t or "").replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
+        split = [self._chunks(t) if t else [""] for t in texts]
         met = set().union(*split)
         missing = list(met.difference(self._memo))
         if len(self._memo) + len(missing) > _MEMO:
             self._memo, missing = {"": b""}, [x for x in met if x]
-        for at in range(0, len(missing), 10_000):
-            part = missing[at : at + 10_000]
+        # Words of Latin letters are one piece each and end with an end-of-word id: many are encoded as one text.
+        words = [x for x in missing if x.isalpha() and max(x) <= "\xff"]
+        rest = [x for x in missing if not (x.isalpha() and max(x) <= "\xff")]
+        for at in range(0, len(words), 5_000):
+            part = words[at : at + 5_000]
+            lines = [" ".join(part[i : i + 50]) for i in range(0, len(part), 50)]
+            ids = [np.array(e.ids, np.int64) for e in self._tokenizer.encode_batch_fast(lines, add_special_tokens=False)]
+            flat = np.concatenate(ids)
+            stops = (np.flatnonzero(self._ends[flat]) + 1) * self.dtype.itemsize
+            raw = flat.astype(self.dtype).tobytes()
+            starts = [0, *stops[:-1].tolist()]
+            self._memo.update(zip(part, (raw[i:j] for i, j in zip(starts, stops.tolist()))))
+        for at in range(0, len(rest), 10_000):
+            part = rest[at : at + 10_000]
             for chunk, e in zip(part, self._tokenizer.encode_batch_fast(part, add_special_tokens=False)):
                 self._memo[chunk] = np.array(e.ids, self.dtype).tobytes()
         look = self._memo.__getitem__
