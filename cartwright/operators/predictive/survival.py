@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 from cartwright.functions import attach_row, elapsed_days
 from cartwright.session import materialise
 
-FEATURES = (
-    "frequency monetary avg_order_value total_items distinct_categories purchase_rate R_score F_score M_score"
-    " RFM_score clv_12m log_recency log_frequency log_monetary"
-).split()
+# Covariates of the survival models.
+FEATURES = [
+    "frequency", "monetary", "avg_order_value", "total_items", "distinct_categories", "purchase_rate", "R_score",
+    "F_score", "M_score", "RFM_score", "clv_12m", "log_recency", "log_frequency", "log_monetary",
+]
 
 
 def survival_data(rfm: DataFrame, as_of: str) -> DataFrame:
@@ -110,7 +111,7 @@ def concordance(data: DataFrame, risk: str = "risk", slices: int | None = None)
         F.count(F.lit(1)).alias("n"), F.sum("E").cast("long").alias("events")
     )
     cells = materialise(cells, "risk-cells")
-    slices = slices or min(256, cells.count() // 100_000 + 1)
+    slices = slices or cells.count() // 100_000 + 1  # a slice stays of one size, their number grows
     laid = materialise(
         cells.repartitionByRange(slices, "risk", "t")
         .sortWithinPartitions("risk", "t")
