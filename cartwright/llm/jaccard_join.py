@@ -168,8 +168,8 @@ def search_links(
             continue
         s = int(sizes[i])
         at = np.searchsorted(keys, sets[i])
-        at = at[(at < len(keys))]
-        at = at[np.isin(keys[at], sets[i], assume_unique=True)] if len(at) < s or role[i] == 1 else at
+        at[at == len(keys)] = 0
+        at = at[keys[at] == sets[i]] if len(keys) else at[:0]
         least = -(-num * s // den)  # the smallest overlap any partner needs
         aside = least - max(1, least // 20)
         lengths = stops[at] - starts[at]
@@ -216,8 +216,7 @@ def _search(docs: DataFrame, dealt: DataFrame, width: int, num: int, den: int) -
             eb.append(b)
         return pa.table({"a": pa.array(np.concatenate(ea)), "b": pa.array(np.concatenate(eb))})
 
-    # Texts are dealt by key at every size, so that the work grows as it does on small inputs.
-    rows = docs.join(dealt.hint("merge"), docs["doc"] == dealt["rep"]).select("rep", "cluster", "task", "part", "role", "text")
+    rows = docs.join(dealt, docs["doc"] == dealt["rep"]).select("rep", "cluster", "task", "part", "role", "text")
     return materialise(rows.groupBy("task").applyInArrow(run, "a long, b long"), "verified")
 
 
