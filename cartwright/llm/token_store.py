@@ -37,7 +37,7 @@ from cartwright.llm.common import mix64
 from cartwright.session import materialise, scratch_path
 
 _MARK = re.compile(r"(?<=[^\W\d_])[.,](?= |$)")
-_MEMO = 800_000  # encoded chunks kept; a full table is started anew
+_MEMO = 400_000  # encoded chunks kept; a full table is started anew
 
 
 # --- encoding -----------------------------------------------------------------------------------------------------------------
@@ -75,7 +75,9 @@ class ChunkEncoder:
         met = set().union(*split)
         missing = list(met.difference(self._memo))
         if len(self._memo) + len(missing) > _MEMO:
-            self._memo, missing = {"": b""}, [x for x in met if x]
+            self._memo.clear()  # before the new entries are made, so that two tables are never held
+            self._memo[""] = b""
+            missing = [x for x in met if x]
         # Words of Latin letters are one piece each and end with an end-of-word id: many are encoded as one text.
         words = [x for x in missing if x.isalpha() and max(x) <= "\xff"]
         rest = [x for x in missing if not (x.isalpha() and max(x) <= "\xff")]
