@@ -154,13 +154,34 @@ def _star(nodes: np.ndarray, roots: np.ndarray) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(nodes[keep]), pa.array(roots[keep])], names=["a", "b"])
 
 
+_FINISH = 400_000  # edges that one task merges in memory; below the size at which ``_forest`` passes partial stars on
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, component`` for every node of the edges ``a, b`` (longs): the smallest node reachable.
 
-    Alternates the large-star and small-star steps; every round is written to the shared folder. A hub's neighbours
-    are spread by splitting skewed joins, and the rounds grow with the logarithm of the longest path.
+    Every partition first shrinks its edges to a forest, and neighbouring partitions are merged, each time to about ``_FINISH``
+    edges (6 MB) a task, as long as that shrinks them. What one task then holds is final. More edges
+    go through large-star and small-star rounds, each written to the shared folder, until they are stars; a hub's neighbours
+    are spread by splitting skewed joins, and the rounds grow with the logarithm of the longest path. Both ways are exact.
     """
-    edges = materialise(_forest(edges.filter("a != b")).filter("a != b").distinct(), "edges")
+    edges = materialise(_forest(edges.filter("a != b")), "edges")
+    held, tasks = edges.count(), 2
+    while tasks > 1:
+        tasks = -(-held // _FINISH) or 1
+        edges = materialise(_forest(edges.coalesce(tasks)), "edges")
+        before, held = held, edges.count()
+        if held > 0.8 * before:
+            break
+    if tasks > 1:
+        edges = _star_rounds(edges)
+    roots = edges.select(F.col("b").alias("node")).distinct().withColumn("component", F.col("node"))
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
+
+
+def _star_rounds(edges: DataFrame) -> DataFrame:
+    """Edges ``a, b`` from every node that is not the smallest of its component to the smallest one."""
+    edges = materialise(edges.distinct(), "edges")
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         lows = materialise(both.groupBy("a").agg(F.min("b").alias("low")), "lows")
@@ -184,6 +205,4 @@ def components(edges: DataFrame) -> DataFrame:
         ).limit(1).count()
         edges = new
         if not unfinished:
-            break
-    roots = edges.select(F.col("b").alias("node")).distinct().withColumn("component", F.col("node"))
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
+            return edges

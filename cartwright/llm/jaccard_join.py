@@ -274,6 +274,8 @@ def _parts(members: DataFrame, edges: DataFrame) -> DataFrame:
 
 def _join_blocks(texts: DataFrame, large: DataFrame, edges: DataFrame, block: int, width: int, num: int, den: int) -> DataFrame:
     """Edges between the blocks of large candidate components."""
+    reps = large.select("rep").hint("merge")
+    texts = materialise(texts.join(reps, F.col("doc") == F.col("rep"), "left_semi"), "large-texts")
     extra = edges.limit(0)
     salt = 0
     while True:

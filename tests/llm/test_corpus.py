@@ -94,7 +94,9 @@ def test_near_duplicates_equal_brute_force(spark, block):
     assert near_dup.near_duplicates(df.limit(0)).count() == 0
 
 
-def test_components_of_chains_and_stars(spark):
+@pytest.mark.parametrize("finish", [1, 30, 400_000])
+def test_components_of_chains_and_stars(spark, monkeypatch, finish):
+    monkeypatch.setattr(common, "_FINISH", finish)
     chain = [(i, i + 1) for i in range(100, 160)] + [(5, k) for k in range(6, 60)] + [(59, 100)] + [(900, 901)]
     random.Random(1).shuffle(chain)
     got = {r["node"]: r["component"] for r in common.components(spark.createDataFrame(chain, "a long, b long").repartition(7)).collect()}
