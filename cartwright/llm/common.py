@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwright.session import materialise
@@ -26,6 +27,18 @@ def text_slices(batch: pa.RecordBatch, column: str, limit: int = _CHUNK) -> Iter
         start = stop
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, max_bytes: int) -> Iterator[None]:
+    """Jobs started inside send Arrow batches of about ``max_bytes`` to Python; the session's setting returns after."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(max_bytes))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finaliser of a 64-bit hash (bijective)."""
     x = x.astype(np.uint64, copy=True)
