@@ -33,12 +33,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwright.llm.common import arrow_batches, mix64
+from cartwright.llm.common import mix64
 from cartwright.session import materialise, scratch_path
 
 _MARK = re.compile(r"(?<=[^\W\d_])[.,](?= |$)")
 _MEMO = 400_000  # encoded chunks kept; a full table is started anew
-_BATCH = 8 << 20  # bytes of text handed to Python at a time
 
 
 # --- encoding -----------------------------------------------------------------------------------------------------------------
@@ -284,12 +283,11 @@ def write_store(
     # Equal keys stay in one range, so their order in the shard is their order in the store.
     laid = docs.select(key, "text").repartitionByRange(shards, F.col(key).asc_nulls_first())
     laid = laid.sortWithinPartitions(F.col(key).asc_nulls_first(), F.xxhash64("text"))
-    with arrow_batches(spark, _BATCH):
-        listed = materialise(
-            laid.mapInArrow(run, f"`{key}` {kind}, copy long, shard long, place long, count long")
-            .withColumn("hash", key_hash(key, "copy")),
-            "token-list",
-        )
+    listed = materialise(
+        laid.mapInArrow(run, f"`{key}` {kind}, copy long, shard long, place long, count long")
+        .withColumn("hash", key_hash(key, "copy")),
+        "token-list",
+    )
     buckets = max(1, -(-n // 4096))
 
     def index(table: pa.Table) -> pa.Table:
