@@ -22,8 +22,7 @@ def build_session(app: str = "cartwright", master: str | None = None, **settings
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        # Sessions are merged inside each input partition before the shuffle.
-        "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
+        # Streams merge sessions inside each input partition before the shuffle; batch plans have no such setting.
         "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     }
     for key, value in {**defaults, **settings}.items():

@@ -51,8 +51,8 @@ def breakdown(events: DataFrame, dimension: str, window: str = "1 hour", waterma
 def sessions(events: DataFrame, gap: str = "30 minutes", watermark: str = WATERMARK) -> DataFrame:
     """Customer sessions closed after ``gap`` without an event.
 
-    With sessions merged inside each input partition first (as ``build_session`` sets it), a customer with most events
-    reaches the final merge as sessions, not events. Start and end are aggregates rather than fields of the window key:
+    On a stream, sessions are merged inside each input partition first (as ``build_session`` sets it), so a customer with most
+    events reaches the final merge as sessions. A batch has no such setting: there all events of a customer meet in one task. Start and end are aggregates rather than fields of the window key:
     the optimizer would push a filter on the key below the merge, onto single events.
     """
     return (

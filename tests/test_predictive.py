@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from cartwright.operators.predictive import churn, clv, cluster, cox, survival
+from cartwright.operators.predictive import churn, clv, cluster, cox, recommend, survival
 from cartwright.session import materialise
 
 
@@ -177,3 +177,17 @@ def test_clusters_are_found_and_labelled(spark):
     }
     points, shares = cluster.project_2d(scaled, ["customer_id"])
     assert points.count() == 180 and sum(shares) == pytest.approx(1)
+
+
+def test_als_lists_hold_no_bought_items(spark):
+    rng = np.random.default_rng(3)
+    # User 0 has bought all items but three, user 1 a single one.
+    bought = {(0, i) for i in range(27)} | {(1, 5)} | {(u, int(i)) for u in range(2, 20) for i in rng.integers(0, 30, u)}
+    cells = spark.createDataFrame([(u, i, 1.0) for u, i in sorted(bought)], "user int, item int, w double")
+    got = recommend.als_recommendations(recommend.fit_als(cells, rank=4, iterations=3), cells, n=5).collect()
+    assert not {(r["user"], r["item"]) for r in got} & bought
+    items = {i for _, i in bought}
+    for u in range(20):
+        ranks = sorted(r["rank"] for r in got if r["user"] == u)
+        own = {i for v, i in bought if v == u}
+        assert ranks == list(range(1, 1 + min(5, len(items - own))))
