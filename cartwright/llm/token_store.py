@@ -21,9 +21,10 @@ apart by their order in the store; null keys come first; an empty table gives an
 from __future__ import annotations
 
 import io
+import os
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -49,6 +50,8 @@ class ChunkEncoder:
     def __init__(self, tokenizer_file: str):
         from tokenizers import Tokenizer
 
+        # Spark runs a task on every core already; a thread pool beside each only adds memory and CPU time.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self._tokenizer = Tokenizer.from_file(tokenizer_file)
         self.dtype = np.dtype("<u2" if self._tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self._memo: dict[str, bytes] = {"": b""}
@@ -208,26 +211,29 @@ class TokenStore:
             run, f"{schema}, shard long, place long, count long"
         )
 
-    def read(self, found: DataFrame, columns: list[str]) -> DataFrame:
-        """``columns`` of ``found`` (a lookup's result) with the raw ids as binary ``ids``, read shard by shard."""
+    def read(
+        self, found: DataFrame, columns: list[str], make: Callable[[bytes], object] = bytes, field: str = "ids binary"
+    ) -> DataFrame:
+        """``columns`` of ``found`` (a lookup's result) and ``field``, what ``make`` gives of the raw ids, read shard by shard."""
         path, width = self.path, np.dtype(self.dtype).itemsize
         schema = ", ".join(f"`{c}` {found.schema[c].dataType.simpleString()}" for c in columns)
+        name, kind = field.split()[0], pa.int64() if field.endswith(" long") else pa.binary()
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             system, root = _open(path)
             shard, source = None, None
             for batch in batches:
-                ids = []
+                made = []
                 for s, p, c in zip(*(batch.column(x).to_pylist() for x in ("shard", "place", "count"))):
                     if s != shard:
                         shard, source = s, system.open_input_file(f"{root}/payload-{s:05d}.bin")
-                    ids.append(source.read_at(c * width, p * width))
+                    made.append(make(source.read_at(c * width, p * width)))
                 yield pa.RecordBatch.from_arrays(
-                    [*[batch.column(c) for c in columns], pa.array(ids, pa.binary())], names=[*columns, "ids"]
+                    [*[batch.column(c) for c in columns], pa.array(made, kind)], names=[*columns, name]
                 )
 
         rows = found.filter("shard is not null").repartition("shard", F.floor(F.col("place") / (1 << 20)))
-        return rows.sortWithinPartitions("shard", "place").mapInArrow(run, f"{schema}, ids binary")
+        return rows.sortWithinPartitions("shard", "place").mapInArrow(run, f"{schema}, {field}")
 
 
 def key_hash(key: str, copy: str):
@@ -313,7 +319,7 @@ def write_store(
 
 def store_digests(store: TokenStore, listed: DataFrame, key: str = "doc_id") -> DataFrame:
     """Per document, from the files: key, start, n_tokens, ids_crc32 (of the ids as 32-bit integers)."""
-    dtype, kind = store.dtype, listed.schema[key].dataType.simpleString()
+    dtype = store.dtype
     found = materialise(store.lookup(listed), "found")
     shards = store.manifest(listed.sparkSession)
     # One row per shard.
@@ -321,15 +327,8 @@ def store_digests(store: TokenStore, listed: DataFrame, key: str = "doc_id") ->
     offsets = shards.select(F.col("shard").alias("_s"), F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("_base"))
     placed = found.join(F.broadcast(offsets), F.col("shard") == F.col("_s"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sums = [zlib.crc32(np.frombuffer(b.as_py(), dtype).astype("<u4").tobytes()) for b in batch.column("ids")]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(2), pa.array(sums, pa.int64())],
-                names=[key, "start", "n_tokens", "ids_crc32"],
-            )
+    def crc(raw: bytes) -> int:
+        return zlib.crc32(np.frombuffer(raw, dtype).astype("<u4").tobytes())
 
     rows = placed.withColumn("start", F.col("_base") + F.col("place")).withColumn("n_tokens", F.col("count"))
-    return store.read(rows, [key, "start", "n_tokens"]).mapInArrow(
-        run, f"`{key}` {kind}, start long, n_tokens long, ids_crc32 long"
-    )
+    return store.read(rows, [key, "start", "n_tokens"], crc, "ids_crc32 long")
