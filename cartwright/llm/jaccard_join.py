@@ -198,8 +198,8 @@ def search_links(
     return np.array(ea, np.int64), np.array(eb, np.int64)
 
 
-def _search(docs: DataFrame, dealt: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """Verified edges of the tasks in ``dealt`` (rep, task, part, role)."""
+def _search(dealt: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """Verified edges of the tasks in ``dealt`` (rep, cluster, task, part, role, text)."""
 
     def run(table: pa.Table) -> pa.Table:
         ids, part, role = (np.asarray(table.column(c)) for c in ("rep", "part", "role"))
@@ -216,11 +216,15 @@ def _search(docs: DataFrame, dealt: DataFrame, width: int, num: int, den: int) -
             eb.append(b)
         return pa.table({"a": pa.array(np.concatenate(ea)), "b": pa.array(np.concatenate(eb))})
 
-    # Texts are dealt by key at every size, so that the work grows as it does on small inputs.
-    rows = docs.join(dealt.hint("merge"), docs["doc"] == dealt["rep"]).select("rep", "cluster", "task", "part", "role", "text")
+    rows = dealt.select("rep", "cluster", "task", "part", "role", "text")
     return materialise(rows.groupBy("task").applyInArrow(run, "a long, b long"), "verified")
 
 
+def _with_texts(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """``rows`` (rep and more) with their texts, which are dealt by key at every size, so that the work grows as on small inputs."""
+    return texts.join(rows.hint("merge"), F.col("doc") == F.col("rep")).select(*rows.columns, "text")
+
+
 def jaccard_components(
     docs: DataFrame, width: int = 3, num: int = 90, den: int = 100, block: int = 512, key: str = "doc_id"
 ) -> DataFrame:
@@ -245,10 +249,13 @@ def jaccard_components(
                                           F.lit(0).cast("long").alias("x"))).otherwise(
         F.struct(F.lit(1).alias("kind"), F.col("cluster").alias("c"), piece(0).cast("long").alias("x")))
     zero = F.lit(0).alias("role")
-    edges = _search(texts, members.select("rep", "cluster", task.alias("task"), F.col("rep").alias("part"), zero), width, num, den)
+    # All texts are shuffled once; what follows reads those of candidates only.
+    held = materialise(_with_texts(members, texts), "candidate-texts")
+    edges = _search(held.select("rep", "cluster", task.alias("task"), F.col("rep").alias("part"), zero, "text"), width, num, den)
     large = members.filter(~alone)
     if large.limit(1).count():
-        edges = materialise(edges.union(_join_blocks(texts, large, edges, block, width, num, den)), "verified")
+        blocks = held.filter(~alone).select(F.col("rep").alias("doc"), "text")
+        edges = materialise(edges.union(_join_blocks(blocks, large, edges, block, width, num, den)), "verified")
     linked = components(edges)
     labelled = materialise(classes.join(linked, F.col("rep") == F.col("node"), "left").select(
         "n", "f1", "f2", F.coalesce("component", "rep").alias("part")
@@ -273,9 +280,7 @@ def _parts(members: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def _join_blocks(texts: DataFrame, large: DataFrame, edges: DataFrame, block: int, width: int, num: int, den: int) -> DataFrame:
-    """Edges between the blocks of large candidate components."""
-    reps = large.select("rep").hint("merge")
-    texts = materialise(texts.join(reps, F.col("doc") == F.col("rep"), "left_semi"), "large-texts")
+    """Edges between the blocks of large candidate components; ``texts`` (doc, text) are theirs."""
     extra = edges.limit(0)
     salt = 0
     while True:
@@ -290,7 +295,8 @@ def _join_blocks(texts: DataFrame, large: DataFrame, edges: DataFrame, block: in
         salt += 1
         x = F.pmod(F.xxhash64("rep", F.lit(salt)), F.ceil(F.col("size") / block)).cast("long")
         task = F.struct(F.lit(2).alias("kind"), F.col("cluster").alias("c"), x.alias("x"))
-        new = _search(texts, heads.select("rep", "cluster", task.alias("task"), "part", F.lit(0).alias("role")), width, num, den)
+        dealt = heads.select("rep", "cluster", task.alias("task"), "part", F.lit(0).alias("role"))
+        new = _search(_with_texts(dealt, texts), width, num, den)
         extra = materialise(extra.union(new), "verified")
         if new.count() < n / 8:  # heads hardly meet any more
             break
@@ -307,4 +313,4 @@ def _join_blocks(texts: DataFrame, large: DataFrame, edges: DataFrame, block: in
     asks = rows.filter("part <> main").withColumn("t", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), n_all - 1), lambda b: pick(mine_ask, b, 1))))
     told = rows.withColumn("t", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), n_ask - 1), lambda a: pick(a, mine, 2))))
     both = asks.union(told).select("rep", "cluster", F.struct("t.kind", "t.c", "t.x").alias("task"), "part", F.col("t.r").alias("role"))
-    return extra.union(_search(texts, both, width, num, den))
+    return extra.union(_search(_with_texts(both, texts), width, num, den))
