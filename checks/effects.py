@@ -311,7 +311,6 @@ def event_batch(spark, d):
     return live.with_event_time(spark.read.parquet(f"{d}/events.parquet"))
 
 
-LATE = "(SELECT max(ts) - INTERVAL 10 MINUTE FROM events)"
 MINUTES = f"""SELECT minute, transactions, revenue, revenue / transactions AS avg_order_value FROM (
   SELECT date_trunc('minute', ts) AS minute, count(*) AS transactions, {money("value")} AS revenue FROM events GROUP BY 1)"""
 
@@ -325,9 +324,9 @@ def _(spark, d):
     return ntz(live.minute_metrics(event_batch(spark, d)), "minute")
 
 
-@query("live_minute_metrics_stream", f"{MINUTES} WHERE minute + INTERVAL 1 MINUTE <= {LATE}")
+@query("live_minute_metrics_stream", MINUTES)
 def _(spark, d):
-    return ntz(drain(live.minute_metrics(event_stream(spark, d))), "minute")
+    return ntz(drain(live.minute_metrics(event_stream(spark, d)), "update", ["minute"]), "minute")
 
 
 @query("live_unique_customers")
@@ -338,10 +337,11 @@ def _(spark, d):
 @query(
     "live_breakdown_stream",
     f"""SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS transactions, {money("value")} AS revenue
-    FROM events WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= {LATE} GROUP BY 1, 2""",
+    FROM events GROUP BY 1, 2""",
 )
 def _(spark, d):
-    return ntz(drain(live.breakdown(event_stream(spark, d), "event_type")), "window_start")
+    hours = live.breakdown(event_stream(spark, d), "event_type")
+    return ntz(drain(hours, "update", ["window_start", "event_type"]), "window_start")
 
 
 @query(
