@@ -354,3 +354,45 @@ def test_pipeline_stages_against_brute_force(spark):
     whole = corpus_pipeline.run(spark, sf).toPandas()
     assert sorted(whole["ids_crc32"]) == sorted(after["ids_crc32"])
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
+
+def brute_stage_components(rows, width=5, num=80, den=100):
+    """The rule of the pipeline's stage: 5-word shingles, similarity 0.8 or more."""
+    sets, label = {}, {i: i for i, _ in rows}
+    for i, t in rows:
+        w = words(t)
+        sets[i] = {tuple(w[k:k + width]) for k in range(len(w) - width + 1)} if len(w) >= width else ({tuple(w)} if w else set())
+    for a, b in itertools.combinations(sets, 2):
+        both = len(sets[a] & sets[b])
+        if both and den * both >= num * (len(sets[a]) + len(sets[b]) - both):
+            old, new = max(label[a], label[b]), min(label[a], label[b])
+            label = {k: new if v == old else v for k, v in label.items()}
+    return label
+
+
+def test_pipeline_stage_removes_copies_of_five_words_and_eight_tenths(spark):
+    import corpus_pipeline
+
+    rng = random.Random(8)
+    vocabulary = [f"v{i}" for i in range(400)]
+    rows, at = [(1, None), (2, ""), (3, "a b c"), (4, "A b  c"), (5, "a b d")], 10
+    for size in (4, 5, 6, 12, 30, 61, 150, 400):
+        text = [rng.choice(vocabulary) for _ in range(size)]
+        for edits in (0, 0, 1, 1, 2, 3, 5, 8):
+            copy = list(text)
+            for _ in range(edits):
+                copy[rng.randrange(size)] = rng.choice(vocabulary)
+            rows.append((at, " ".join(copy)))
+            at += 1
+    spread = list(range(100))
+    changed = [f"e{i}" if i in (30, 70) else f"w{i}" for i in spread]  # 3 words: 92 of 104 (0.885); 5 words: 86 of 106 (0.811)
+    rows += [(900, " ".join(f"w{i}" for i in spread)), (901, " ".join(changed))]
+    want = brute_stage_components(rows)
+    assert want[901] == 900 and brute_components([(i, t, "s") for i, t in rows])[901][1] == 901
+    given = docs(spark, [(i, t, "s") for i, t in rows])
+    got = corpus_pipeline.keep_one_of_each(spark, given, "")
+    assert {r["doc_id"] for r in got.collect()} == {i for i, c in want.items() if i == c}
+    for block in (512, 2):
+        found = jaccard_join.jaccard_components(given, 5, 80, 100, block=block).collect()
+        assert {r["doc_id"]: r["component_id"] for r in found} == want
+    op3 = {r["doc_id"]: r["component_id"] for r in jaccard_join.jaccard_components(given).collect()}
+    assert op3[901] == 901  # the query keeps 3 words and 0.9
