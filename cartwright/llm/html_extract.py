@@ -3,8 +3,13 @@
 ``html.parser`` streams events. A line is a block of text between block-level tags, with its text length, the tags inside
 it and the share of link text. Ratios are smoothed with a Gaussian over neighbouring lines; lines above the standard
 deviation of the smoothed ratios seed clusters of content, and the region with most text is the page's content from its first to
-its last seed. Elements that are never article text (menus, forms, scripts, ...) are left out by tag, role or class before. If
-the page marks its article (``article``, ``main``), the region search runs over the marked lines only and keeps all of them.
+its last seed. Elements that are never article text (menus, forms, scripts, ...) are left out by tag before. The page's own mark
+(``article``, ``main``) is a weight: marked lines count ``MARK`` times in ratios and in the comparison of clusters, and make
+one cluster. If that wins, all marked lines are kept; clusters next to the winner stay when they hold a third of its weighted text.
+
+Elements with a noise word in class, id or role are judged after the page is read, inner ones first: one that holds more weighted
+text than the rest of the page, in more than one line or with marked lines in it, is a frame around the content and stays. Comments are never
+frames, and articles in or among comments are no mark. If nothing else is left, the noise stays.
 
 Defined cases: null, empty and tag-only pages give an empty text; unclosed and stray tags are tolerated; plain text
 without tags is one line and kept; repeated rows give repeated results; other columns are ignored.
@@ -31,6 +36,7 @@ BLOCKS = frozenset(
     "h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 ARTICLE = frozenset(["article", "main"])
+MARK = 2  # weight of text that the page marks as its article
 _CLOSES_P = BLOCKS - {"br"}
 # Words in class, id or role that mark parts which are not article text.
 _NOISE = re.compile(
@@ -42,15 +48,22 @@ _NOISE = re.compile(
     re.I,
 )
 
+_COMMENTS = re.compile(r"(?:^|[\s_-])(?:comment|comments|disqus|respond|replies|reply)(?:$|[\s_-]|\d)", re.I)
+# Words that describe a frame and not a part: what it has, how it is filed, whether comments are open.
+_STATES = re.compile(
+    r"(?:^|(?<=\s))(?:(?:has|with|without|no|tag|category)[-_]\S+|comments?[-_](?:open|closed|enabled|disabled))(?=\s|$)", re.I
+)
+
 
 class _Line:
-    __slots__ = ("parts", "tags", "linked", "marked")
+    __slots__ = ("parts", "tags", "linked", "marked", "noise")
 
-    def __init__(self, marked: bool):
+    def __init__(self, marked: bool, noise: int):
         self.parts: list[str] = []
         self.tags = 0
         self.linked = 0
         self.marked = marked
+        self.noise = noise  # innermost element with a noise word, 0 for none
 
 
 class LineParser(HTMLParser):
@@ -59,34 +72,50 @@ class LineParser(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[_Line] = []
-        self.open: list[tuple[str, bool, bool]] = []  # element, left out, article
-        self.out = self.links = self.inside = 0
-        self.line = _Line(False)
+        self.open: list[tuple[str, bool, bool, int]] = []  # element, left out, article, noise element before (-1: no noise)
+        self.parents: list[int] = [0]  # of noise elements, by number
+        self.comments: list[bool] = [False]  # noise elements that are comments or inside of them
+        self.out = self.links = self.inside = self.noise = 0
+        self.line = _Line(False, 0)
 
     def _break(self) -> None:
         if self.line.parts or self.line.tags:
             self.lines.append(self.line)
-        self.line = _Line(self.inside > 0)
+        self.line = _Line(self.inside > 0, self.noise)
 
-    def _noise(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+    def _left_out(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
         if tag in DROPPED:
             return True
         if tag in ARTICLE or tag in ("body", "html"):
             return False
         for name, value in attrs:
-            if name in ("class", "id", "role") and value and _NOISE.search(value):
-                return True
             if name == "hidden" or (name == "aria-hidden" and value == "true"):
                 return True
             if name == "style" and value and re.search(r"display\s*:\s*none", value, re.I):
                 return True
         return False
 
+    def _noise_words(self, tag: str, attrs: list[tuple[str, str | None]]) -> tuple[bool, bool]:
+        """Whether the element has a noise word, and one of comments. Articles are judged by the latter only."""
+        if tag in ("main", "body", "html"):
+            return False, False
+        noise = comments = False
+        for name, value in attrs:
+            if name in ("class", "id", "role") and value and _NOISE.search(value):
+                value = _STATES.sub("", value)
+                noise = noise or bool(_NOISE.search(value))
+                comments = comments or bool(_COMMENTS.search(value))
+        return comments if tag in ARTICLE else noise, comments
+
     def _leave(self, position: int) -> None:
-        for tag, out, article in self.open[position:]:
+        for tag, out, article, _ in self.open[position:]:
             self.out -= out
             self.inside -= article
             self.links -= tag == "a"
+        for *_, before in self.open[position:]:
+            if before >= 0:
+                self.noise = before
+                break
         del self.open[position:]
 
     def handle_starttag(self, tag, attrs):
@@ -103,14 +132,22 @@ class LineParser(HTMLParser):
             self.line.tags += 1
         if tag in VOID:
             return
-        out, article = self._noise(tag, attrs), tag in ARTICLE
+        out, article, before = self._left_out(tag, attrs), tag in ARTICLE, -1
         if out:
             self._break()
-        self.open.append((tag, out, article and not self.out and not out))
+        elif not self.out:
+            noise, comments = self._noise_words(tag, attrs)
+            if noise:
+                self._break()
+                before = self.noise
+                self.parents.append(before)
+                self.comments.append(comments or self.comments[before])
+                self.noise = len(self.parents) - 1
+        self.open.append((tag, out, article and not self.out and not out and not self.comments[self.noise], before))
         self.out += out
         self.inside += self.open[-1][2]
         self.links += tag == "a"
-        if article:
+        if article or before >= 0:
             self._break()
 
     def handle_startendtag(self, tag, attrs):
@@ -121,11 +158,12 @@ class LineParser(HTMLParser):
     def handle_endtag(self, tag):
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i][0] == tag:
-                if tag in BLOCKS or any(x[1] or x[2] for x in self.open[i:]):
+                if tag in BLOCKS or any(x[1] or x[2] or x[3] >= 0 for x in self.open[i:]):
                     self._break()
-                self._leave(i)
-                if tag in BLOCKS or tag in DROPPED:
-                    self.line.marked = self.inside > 0
+                    self._leave(i)
+                    self.line = _Line(self.inside > 0, self.noise)
+                else:
+                    self._leave(i)
                 break
         if not self.out:
             self.line.tags += 1
@@ -137,6 +175,29 @@ class LineParser(HTMLParser):
                 self.line.linked += len(data)
 
 
+def without_noise(parser: LineParser, lines: list[tuple[str, int, int, bool, int]]) -> list[tuple[str, int, int, bool, int]]:
+    """``lines`` (text, tags, linked, marked, noise element) outside of noise elements that are not frames around the content."""
+    n = len(parser.parents)
+    weight, count, marks = [0] * n, [0] * n, [False] * n
+    for text, _, _, marked, noise in lines:
+        weight[noise] += len(text) * (MARK if marked else 1)
+        count[noise] += 1
+        marks[noise] |= marked
+    rest, gone = sum(weight), [False] * n
+    for e in range(n - 1, 0, -1):  # inner elements have larger numbers
+        if not parser.comments[e] and 2 * weight[e] > rest and (count[e] > 1 or marks[e]):
+            up = parser.parents[e]
+            weight[up] += weight[e]
+            count[up] += count[e]
+            marks[up] |= marks[e]
+        else:
+            gone[e] = True
+            rest -= weight[e]
+    for e in range(1, n):
+        gone[e] |= gone[parser.parents[e]]
+    return [x for x in lines if not gone[x[4]]] or lines
+
+
 def smooth(values: list[float], sigma: float = 1.0) -> list[float]:
     """Gaussian smoothing over neighbouring lines, weights renormalised at the ends."""
     reach = max(1, math.ceil(2 * sigma))
@@ -152,29 +213,46 @@ def smooth(values: list[float], sigma: float = 1.0) -> list[float]:
     return out
 
 
-def content_region(texts: list[str], tags: list[int], linked: list[int], sigma: float = 1.0) -> tuple[int, int]:
-    """First and last line (inclusive) of the content region by clustered text-to-tag ratios."""
-    ratios = [max(0, len(t) - l) / max(1, g) for t, g, l in zip(texts, tags, linked)]
+def content_lines(texts: list[str], tags: list[int], linked: list[int], marked: list[bool], sigma: float = 1.0) -> list[int]:
+    """Lines of the content region by clustered text-to-tag ratios, in order."""
+    factor = [MARK if m else 1 for m in marked]
+    ratios = [f * max(0, len(t) - l) / max(1, g) for t, g, l, f in zip(texts, tags, linked, factor)]
     level = smooth(ratios, sigma)
     mean = sum(level) / len(level)
     limit = min(math.sqrt(sum((x - mean) ** 2 for x in level) / len(level)), mean) if len(level) > 1 else 0.0
     seeds = [i for i, (x, r) in enumerate(zip(level, ratios)) if x >= limit and r > 0]
     if not seeds:
-        return 0, len(texts) - 1
-    # Clusters of seeds: a run ends where more than `gap` lines in a row are below the threshold.
-    gap, runs = 3, [[seeds[0], seeds[0]]]
-    for i in seeds[1:]:
-        if i - runs[-1][1] <= gap + 1:
+        return list(range(len(texts)))
+    # Clusters of seeds: a run ends where more than `gap` lines in a row are below the threshold, and at the edge of the mark.
+    gap, runs, before = 3, [], [0]
+    for m in marked:
+        before.append(before[-1] + m)
+    for i in (i for i in seeds if not marked[i]):
+        if runs and i - runs[-1][1] <= gap + 1 and before[i] == before[runs[-1][1]]:
             runs[-1][1] = i
         else:
             runs.append([i, i])
-    first, last = max(runs, key=lambda r: sum(len(t) for t in texts[r[0] : r[1] + 1]))
-    # A heading directly above the region belongs to it.
-    while first > 0 and ratios[first - 1] > 0:
-        first -= 1
-    while last < len(texts) - 1 and ratios[last + 1] > 0:
-        last += 1
-    return first, last
+    # Every cluster with its lines and its weighted text; the marked lines are one.
+    clusters = []
+    for first, last in runs:
+        size = sum(len(t) for t in texts[first : last + 1])
+        # A heading directly above the region belongs to it.
+        while first > 0 and ratios[first - 1] > 0 and not marked[first - 1]:
+            first -= 1
+        while last < len(texts) - 1 and ratios[last + 1] > 0 and not marked[last + 1]:
+            last += 1
+        lines = [i for i in range(first, last + 1) if linked[i] < 0.7 * len(texts[i])]
+        if lines:
+            clusters.append((size, lines))
+    if before[-1]:
+        size = sum(MARK * len(texts[i]) for i in seeds if marked[i])
+        clusters.append((size, [i for i, m in enumerate(marked) if m]))
+    most, best = max(clusters, key=lambda c: c[0], default=(0, []))
+    kept, near = set(best), {i + d for i in best for d in range(-gap - 1, gap + 2)}
+    for size, lines in clusters:
+        if 3 * size >= most and marked[lines[0]] != marked[best[0]] and not near.isdisjoint(lines):
+            kept.update(lines)
+    return sorted(kept)
 
 
 def extract(html: str | None, sigma: float = 1.0) -> str:
@@ -189,15 +267,11 @@ def extract(html: str | None, sigma: float = 1.0) -> str:
     for line in parser.lines:
         text = " ".join("".join(line.parts).split())
         if text:
-            lines.append((text, line.tags, line.linked, line.marked))
+            lines.append((text, line.tags, line.linked, line.marked, line.noise))
     if not lines:
         return ""
-    marked = [x for x in lines if x[3]]
-    if marked:
-        return " ".join(x[0] for x in marked)
-    first, last = content_region(*[[x[i] for x in lines] for i in range(3)], sigma)
-    kept = [t for t, _, linked, _ in lines[first : last + 1] if linked < 0.7 * len(t)]
-    return " ".join(kept)
+    lines = without_noise(parser, lines)
+    return " ".join(lines[i][0] for i in content_lines(*[[x[k] for x in lines] for k in range(4)], sigma))
 
 
 def extract_pages(pages: DataFrame, sigma: float = 1.0) -> DataFrame:

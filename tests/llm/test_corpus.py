@@ -292,6 +292,35 @@ def test_html_main_text(wrap):
     assert html_extract.extract(page) == WANT
 
 
+BODY = "".join(f"<p>Paragraph {i} of the body goes on with enough words to be read as running text.</p>" for i in range(6))
+BODY_TEXT = " ".join(f"Paragraph {i} of the body goes on with enough words to be read as running text." for i in range(6))
+TEASER = "<article><h3>Next story</h3><p>Read on here.</p></article>"
+COMMENTS = "".join(f"<article class='comment'><p>Comment {i} thanks the author at some length.</p><p>And again.</p></article>" for i in range(9))
+
+
+@pytest.mark.parametrize("page", [
+    f"<div>{BODY}</div>{TEASER}",  # the mark is on a teaser only
+    f"{TEASER}<div>{BODY}</div>",
+    f"<article>{BODY}</article>{COMMENTS}",  # comments marked as articles
+    f"<div>{BODY}</div>{COMMENTS}",
+    f"<div>{BODY}</div><div id='comments'><article><p>A comment without a class of its own.</p></article></div>",
+    f"<div class='layout has-sidebar'><div>{BODY}</div><div class='sidebar'><p>Links and more</p></div></div>",
+    f"<div class='layout search'><div>{BODY}</div><div class='sidebar'><p>Links and more</p></div></div>",  # a frame with a noise word
+    f"<div class='header-visible share'><article>{BODY}</article></div><div class='related'>{TEASER}</div>",
+    f"<div>{BODY}</div><div class='related'>{TEASER}</div>",
+    f"<article class='post comments-open'>{BODY}</article><div class='ad'>Buy this.</div>",
+    f"<main>{BODY}</main><div>Small print.</div>",
+])
+def test_html_region_weighs_the_mark(page):
+    assert html_extract.extract(f"<html><body><nav><a href=/>Home</a></nav>{page}<footer>end</footer></body></html>") == BODY_TEXT
+
+
+def test_html_body_partly_marked():
+    first, rest = BODY[: BODY.index("<p>Paragraph 2")], BODY[BODY.index("<p>Paragraph 2") :]
+    assert html_extract.extract(f"<body><article>{first}</article><div>{rest}</div></body>") == BODY_TEXT
+    assert html_extract.extract("<body><div class='ad'>A longer text of an advertisement than that.</div><article><p>Short.</p></article></body>") == "Short."
+
+
 def test_html_odd_pages(spark):
     rows = [(1, "u", None), (2, "u", ""), (3, None, "plain  text"), (4, "u", "<p>a<p>b"), (4, "u", "<p>a<p>b"), (5, "u", "</div><"), (None, "u", f"<p>{LONG}</p>")]
     df = spark.createDataFrame([(*r, "t", 1) for r in rows], "page_id long, url string, html string, text string, n_chars int")
