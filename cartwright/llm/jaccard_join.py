@@ -6,7 +6,8 @@ concatenation counts occurrences), keeps documents with at least T - L hits, and
 
 Which documents share a task: similar sets differ in at most d = (s + t)(den - num) / (den + num) shingles, so when shingles are dealt
 to d + 1 + E parts by their hash, at least E + 1 parts are equal. Documents of neighbouring size classes with an equal non-empty part
-are candidates (a document with more than E empty parts also offers those, so nothing is lost). Candidate components are
+are candidates (a document with more than E empty parts also offers those, so nothing is lost; E grows with the parts that sets
+of a class are expected to leave empty, as those are equal in unrelated documents). Candidate components are
 searched; small ones are packed together, large ones are cut into blocks. Blocks are joined by searching one document
 per component found so far, and what is still apart then is searched block against block, so no component is one task and no
 pair of different components is left out. Links inside one component are not needed for its id and are skipped.
@@ -44,19 +45,26 @@ def size_classes(largest: int, num: int, den: int) -> np.ndarray:
     return np.array(bounds)
 
 
+def part_count(level: int, bounds: np.ndarray, num: int, den: int) -> tuple[int, int]:
+    """Parts of the sets that meet in size class ``level``, and how many of them may be empty (E)."""
+    largest, smallest = int(bounds[level + 1]) - 1, int(bounds[max(0, level - 1)])
+    parts = 2 * largest * (den - num) // (den + num) + 1
+    empty = max(_EMPTY_PARTS, math.ceil(2 * parts * math.exp(-smallest / parts)) if parts > 40 else 0)
+    return parts + empty, empty
+
+
 def signatures(shingles: np.ndarray, bounds: np.ndarray, num: int, den: int) -> np.ndarray:
     """Hashes of the parts of one set in its own size class and the next."""
     own = int(np.searchsorted(bounds, len(shingles), side="right")) - 1
     mixed = mix64(shingles)
     out = []
     for level in (own, own + 1):
-        largest = int(bounds[level + 1]) - 1
-        parts = 2 * largest * (den - num) // (den + num) + 1 + _EMPTY_PARTS
+        parts, empty = part_count(level, bounds, num, den)
         part = (shingles % np.uint64(parts)).astype(np.int64)
         order = np.argsort(part, kind="stable")
         ids, starts = np.unique(part[order], return_index=True)
         sums = np.add.reduceat(mixed[order], starts)
-        if parts - len(ids) > _EMPTY_PARTS:
+        if parts - len(ids) > empty:
             missing = np.setdiff1d(np.arange(parts), ids)
             ids, sums = np.append(ids, missing), np.append(sums, np.zeros(len(missing), np.uint64))
         tag = mix64(ids.astype(np.uint64) + np.uint64(level << 40))
