@@ -105,10 +105,11 @@ def best_partners(
         ids = [np.array(list(a)) for a in at]
         orders = [np.argsort(x, kind="stable") for x in ids]
         a, b = ids[0][orders[0]], ids[1][orders[1]]
-        score = np.floor(acc[np.ix_(orders[0], orders[1])] * digits + 0.5) / digits
+        exact = acc[np.ix_(orders[0], orders[1])]
+        score = np.floor(exact * digits + 0.5) / digits
         usable = np.isfinite(score)
-        if positive_only:
-            usable &= score > 0
+        if positive_only:  # judged before rounding: a small score is still one
+            usable &= exact > 0
         if not per_left:
             usable &= a[:, None] < b[None, :]
         elif same_ids:

@@ -128,3 +128,15 @@ def test_ranking_quality(spark):
     assert got["precision_at_k"] == pytest.approx((1 / 2 + 0 + 0) / 3)
     assert got["recall_at_k"] == pytest.approx((1 / 2) / 3)
     assert got["ndcg_at_k"] == pytest.approx((1 / np.log2(3)) / (1 + 1 / np.log2(3)) / 3)
+
+
+def test_small_cosines_are_the_same_at_every_limit(spark):
+    rows = [(f"u{i}", f"i{i}", 30_000.0) for i in range(4)] + [("all", f"i{i}", 1.0) for i in range(4)]  # cosines near 1e-9
+    cells = spark.createDataFrame(rows, "user string, item string, w double")
+    near, scores = [], []
+    for limit in (1, 1000):
+        similarity = R.item_similarity(cells, light_limit=limit)
+        near.append(sorted(map(tuple, R.similar_items(similarity).collect())))
+        scores.append(sorted(map(tuple, R.score_users(cells, similarity).collect())))
+    assert len(near[0]) == 12 and near[0] == near[1]
+    assert len(scores[0]) == 12 and scores[0] == scores[1]
