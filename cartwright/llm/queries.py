@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwright.llm import decontaminate, html_extract, jaccard_join, line_dedup, mixing, near_dup, quality, sql
-from cartwright.llm import token_count, token_store, url_filter
+from cartwright.llm import token_align, token_count, token_store, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -91,6 +91,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.align_tokenizers(
+        _table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -104,6 +110,7 @@ QUERIES = {
         op8_mixing,
         op9_html_text,
         op10_quality,
+        op12_token_alignment,
     )
 }
 ORACLES = {
