@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright.llm import decontaminate, html_extract, jaccard_join, line_dedup, mixing, near_dup, quality, sql
+from cartwright.llm import decontaminate, html_extract, jaccard_join, line_dedup, mixing, near_dup, quality, spelling, sql
 from cartwright.llm import token_align, token_count, token_store, url_filter
 
 
@@ -91,6 +91,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_align.align_tokenizers(
         _table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
@@ -110,6 +114,7 @@ QUERIES = {
         op8_mixing,
         op9_html_text,
         op10_quality,
+        op11_spelling_variants,
         op12_token_alignment,
     )
 }
