@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright.llm import decontaminate, html_extract, jaccard_join, line_dedup, mixing, near_dup, quality, spelling, sql
+from cartwright.llm import decontaminate, html_extract, jaccard_join, line_dedup, mixing, near_dup, personal_data, quality, spelling, sql
 from cartwright.llm import token_align, token_count, token_store, url_filter
 
 
@@ -101,6 +101,25 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.find_personal_data(_table(spark, sf_dir, "documents"))
+
+    def written(spans: str):
+        return F.concat_ws(
+            ",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+        )
+
+    def number(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *map(number, personal_data.KINDS),
+        F.sha2(written("base"), 256).alias("base_sha256"),
+        written("spans").alias("spans"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -116,6 +135,7 @@ QUERIES = {
         op10_quality,
         op11_spelling_variants,
         op12_token_alignment,
+        op13_personal_data,
     )
 }
 ORACLES = {
