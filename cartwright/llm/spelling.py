@@ -7,8 +7,8 @@ most letters of the vocabulary / ``max_list`` grams a length, which bounds what
 Decomposition. At every place of a word stands the longest gram of the dictionary, at most half the word long; a gram that ends
 where its left neighbour's ends is dropped. A frequent stretch is thus indexed by long grams, a rare one by short ones.
 
-Affected grams. An edit touches the grams that hold it, that end just before it and may grow over it, and the one just behind it
-that its new left neighbour may swallow. The fewest grams that any one edit leaves are a word's bound T. It is at least one, as a
+Affected grams. An edit touches the grams that hold it, one that ends just before it if a dictionary gram continues it, and one
+just behind it if a dictionary gram ends with it and may swallow it. The fewest grams that any one edit leaves are a word's bound T. It is at least one, as a
 gram is at most half the word long, so the count test alone decides and no word needs another way.
 
 Merging. Of a word's n grams, the n - T + 1 rarest lists hold every word that shares T grams with it. They are the probes. Lists are
@@ -138,23 +138,34 @@ def decompose(letters: np.ndarray, levels: list[np.ndarray], cap: int) -> np.nda
     return lengths
 
 
-def bounds(lengths: np.ndarray, cap: int) -> tuple[np.ndarray, np.ndarray]:
+def _open(letters: np.ndarray, lengths: np.ndarray, levels: list[np.ndarray], cap: int) -> tuple[np.ndarray, np.ndarray]:
+    """Kept grams that a dictionary gram of the next length continues to the right, and to the left."""
+    right, left = np.zeros(lengths.shape, bool), np.zeros(lengths.shape, bool)
+    for k, level in enumerate(levels):
+        q = _LOW + k
+        if q >= cap or q > letters.shape[1] or not len(level):
+            break
+        codes = _packed(letters, q)
+        here = lengths[:, : codes.shape[1]] == q
+        right[:, : codes.shape[1]] |= here & _member(np.unique(level >> 8), codes)
+        left[:, : codes.shape[1]] |= here & _member(np.unique(level & ((1 << 8 * q) - 1)), codes)
+    return right, left
+
+
+def bounds(letters: np.ndarray, lengths: np.ndarray, levels: list[np.ndarray], cap: int) -> tuple[np.ndarray, np.ndarray]:
     """Fewest grams that survive one replaced letter, and one inserted letter, of each word."""
     n, size = lengths.shape
     kept = lengths > 0
     ends = np.arange(size) + lengths
-    full = lengths == cap
-    place = np.arange(size)
+    open_right, open_left = _open(letters, lengths, levels, cap)
+    # The first edit place at which a gram left of it is safe, and the last one at which a gram right of it is.
+    safe_after = np.where(kept, ends + open_right, size + 2)
     out = []
     for inserted in (False, True):
+        safe_before = np.where(kept, np.arange(size) - open_left - (not inserted), -1)
         least = np.full(n, size, np.int64)
         for i in range(size + inserted):
-            # Left of the edit: the gram and the letter behind it (which decides its length) lie before place i.
-            left = kept & ((ends < i) | ((ends == i) & full))
-            # Right of it: the gram just behind may be swallowed by a gram that holds the new letter, unless it is of full length.
-            first = i if inserted else i + 1
-            right = kept & ((place > first) | ((place == first) & full))
-            least = np.minimum(least, (left | right).sum(axis=1))
+            least = np.minimum(least, ((safe_after <= i) | (safe_before >= i)).sum(axis=1))
         out.append(least)
     return out[0], out[1]
 
@@ -230,7 +241,7 @@ def _entries(levels: list[np.ndarray], weights: _Weights, high: int):
                     if probe_size < size:
                         continue
                     # As a probing word: its n - T + 1 rarest lists.
-                    same, longer = bounds(lengths, _cap(size, high))
+                    same, longer = bounds(letters, lengths, levels, _cap(size, high))
                     if min(same.min(), longer.min()) < 1:
                         raise ValueError("words of at least four letters are needed")
                     frequency = np.where(lengths > 0, weights.frequency(codes), np.iinfo(np.int64).max)
@@ -277,7 +288,7 @@ def _rows(key, letters, lengths, row, n, rank, least, found) -> Iterator[pa.Reco
 
 
 _ENTRY = "key long, size int, body binary, n long, probe int, same int, longer int"
-_BLOCK = 4_000_000  # pairs of a list part that are counted at a time
+_BLOCK = 150_000  # pairs of a list part that are counted at a time; stays in a core's cache
 
 
 def _code_bytes(letters: np.ndarray, lengths: np.ndarray, none: int) -> np.ndarray:
@@ -299,21 +310,51 @@ def _shared(s: np.ndarray, s_len: np.ndarray, t: np.ndarray, t_len: np.ndarray,
     return (s_len > 0) & (s_len == moved_len) & (np.take_along_axis(wrong, stop, axis=1) == wrong[:, :-1])
 
 
+def _one_edit(s: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """Whether each pair of a block (letters in the first axis) differs by one replaced or, if t is longer, inserted letter."""
+    size = len(s)
+    total = np.zeros((s.shape[1], t.shape[1]), np.uint8 if size < 120 else np.int32)
+    if len(t) == size:
+        for p in range(size):
+            total += s[p] != t[p]
+        return total == 1
+    for shift, order in ((0, range(size)), (1, range(size - 1, -1, -1))):
+        alive = np.ones(total.shape, bool)
+        for p in order:
+            alive &= s[p] == t[p + shift]
+            total += alive
+    return total >= size
+
+
 def _meet(probe: dict, index: dict) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Rows of probes and indexed words of one list part that differ by one letter and meet here first."""
     size, longer = probe["letters"].shape[1], index["letters"].shape[1] > probe["letters"].shape[1]
     s_code, t_code = _code_bytes(probe["letters"], probe["lengths"], 251), _code_bytes(index["letters"], index["lengths"], 252)
     least = probe["longer"] if longer else probe["same"]
     step = max(1, _BLOCK // max(1, len(t_code)))
-    for at in range(0, len(s_code), step):
-        s = s_code[at : at + step]
-        count = np.zeros((len(s), len(t_code)), np.uint8 if size < 120 else np.int32)
+    s_code, t_code = np.ascontiguousarray(s_code.T), np.ascontiguousarray(t_code.T)
+    s_letter, t_letter = np.ascontiguousarray(probe["letters"].T), np.ascontiguousarray(index["letters"].T)
+    found = []
+    for at in range(0, s_code.shape[1], step):
+        s = s_code[:, at : at + step, None]
+        count = (s[0] == t_code[0]).astype(np.uint8 if size < 120 else np.int32)
+        equal = np.empty(count.shape, bool)
         for p in range(size):
-            count += s[:, p, None] == t_code[None, :, p]
+            if p:
+                np.equal(s[p], t_code[p], out=equal)
+                np.add(count, equal, out=count)
             if longer:
-                count += s[:, p, None] == t_code[None, :, p + 1]
-        i, j = np.nonzero(count >= least[at : at + step, None].astype(count.dtype))
-        i += at
+                np.equal(s[p], t_code[p + 1], out=equal)
+                np.add(count, equal, out=count)
+        reached = count >= least[at : at + step, None].astype(count.dtype)
+        if 50 * np.count_nonzero(reached) > count.size:  # most pairs reach a low bound: letters of the whole block are cheaper
+            reached &= _one_edit(s_letter[:, at : at + step, None], t_letter)
+        hit = np.flatnonzero(reached)
+        if len(hit):
+            i, j = np.divmod(hit, count.shape[1])
+            found.append((i + at, j))
+    if found:
+        i, j = (np.concatenate(x) for x in zip(*found))
         for cut in range(0, len(i), 200_000):
             a, b = i[cut : cut + 200_000], j[cut : cut + 200_000]
             x, y = probe["letters"][a], index["letters"][b]
@@ -408,7 +449,7 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from joined(_links(pa.Table.from_batches(held)))
 
 
-def near_words(words: DataFrame, max_list: int = 5_000, part: int = 20_000, high: int = 7) -> DataFrame:
+def near_words(words: DataFrame, max_list: int = 2_000, part: int = 20_000, high: int = 7) -> DataFrame:
     """word, near, near_n: every ordered pair of distinct words (Latin-1 bytes of at least four letters, with ``n``) one edit apart."""
     spark = words.sparkSession
     letters = words.agg(F.sum(F.length("word")).alias("s"), F.count(F.lit(1)).alias("c")).first()
