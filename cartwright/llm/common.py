@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cartwright.session import materialise
 
-_CHUNK = 2_000_000  # bytes of text hashed at a time; bounds the temporaries of a batch
+_CHUNK = 250_000  # bytes of text hashed at a time; bounds the temporaries of a batch
 
 
 def text_slices(batch: pa.RecordBatch, column: str, limit: int = _CHUNK) -> Iterator[pa.RecordBatch]:

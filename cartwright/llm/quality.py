@@ -172,17 +172,23 @@ def score_documents(
     df, n = document_frequencies(docs)
     model = NeighbourModel(labelled_sample(docs, labels, usable, max_labelled, key), df, n, dims, k)
     held = docs.sparkSession.sparkContext.broadcast(model)
-    columns = docs.columns if keep else [key]
-    name = "_score" if keep else "score"
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
+    if keep:  # only texts go to Python and only scores come back
+        @F.arrow_udf("double")
+        def scored(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for batch in texts:
+                rows = pa.RecordBatch.from_arrays([batch], names=["text"])
+                parts = [held.value.score(part.column("text")) for part in text_slices(rows, "text")]
+                yield pa.array(np.concatenate(parts or [np.empty(0)]))
+
+        return docs.withColumn("_score", scored("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, "text"):
                 scores = pa.array(held.value.score(part.column("text")))
-                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in columns], scores], names=[*columns, name])
+                yield pa.RecordBatch.from_arrays([part.column(key), scores], names=[key, "score"])
 
-    return docs.select(*dict.fromkeys([*columns, "text"])).mapInArrow(run, f"{schema}, {name} double")
+    return docs.select(key, "text").mapInArrow(run, f"`{key}` {docs.schema[key].dataType.simpleString()}, score double")
 
 
 def learnable(column: str = "_k") -> Column:

@@ -128,9 +128,9 @@ WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_FOLD.format("coalesce(t
     e AS (SELECT doc_id, unnest(g) AS x FROM s),
     f AS (SELECT x FROM e GROUP BY x HAVING count(*) > 1),
     e2 AS (SELECT e.* FROM e JOIN f USING (x)),
-    o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM e2 a JOIN e2 b ON a.x = b.x AND a.doc_id < b.doc_id
+    o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM e2 a JOIN e2 b ON a.x = b.x AND a.doc_id < b.doc_id
       GROUP BY ALL),
-    l AS (SELECT a, b FROM o JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * both >= 90 * (p.n + q.n - both)),
+    l AS (SELECT a, b FROM o JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * common >= 90 * (p.n + q.n - common)),
     u AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
     r(doc_id, root) AS (SELECT doc_id, doc_id FROM n UNION SELECT u.b, r.root FROM r JOIN u ON u.a = r.doc_id WHERE r.root < u.b)
 SELECT n.doc_id AS doc_id, n AS n_shingles, low AS component_id
