@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cartwright.operators.predictive import churn as H
 from cartwright.operators.predictive import clv as V
+from cartwright.operators.predictive import lifetime as E
 from cartwright.operators.predictive import survival as U
 from cartwright.session import materialise
 from cartwright.sources import testtables as T
@@ -156,6 +157,52 @@ def _(spark, d):
     return _fit_row(spark, V.fit_spend(history(spark, d)))
 
 
+def _fitted(spark, d, purchases, spend):
+    out = E.predict_from_fits(history(spark, d), purchases, spend)
+    return rounded(rounded(out, 8, "expected_transactions", "prob_alive"), 2, "expected_value", "clv")
+
+
+# Stated parameters of the checked prediction: purchases (r, alpha, a, b) and spend (p, q, v).
+STATED = (
+    V.Fit({"r": 1.3, "alpha": 9.5, "a": 1.7, "b": 2.6}, 0.0, 0),
+    V.Fit({"p": 3.1, "q": 4.2, "v": 1500.0}, 0.0, 0),
+)
+
+
+def _stated_sql() -> str:
+    """The series from its last term inwards (1 + r0 (1 + r1 (...))) in its plain, untransformed form, for twelve horizons."""
+    r, alpha, a, b = (f"{v}::DOUBLE" for v in STATED[0].params.values())
+    p, q, v = (f"{v}::DOUBLE" for v in STATED[1].params.values())
+    return sql(
+        f"""SELECT customer_id, round(e[12], 8) AS expected_transactions, round(alive, 8) AS prob_alive,
+        round(g, 2) AS expected_value, round(g * (SELECT sum((e[k] - CASE WHEN k > 1 THEN e[k - 1] ELSE 0 END)
+          * power(1.1::DOUBLE, -k / 12::DOUBLE)) FROM (SELECT unnest(range(1, 13)) AS k)), 2) AS clv FROM paths""",
+        "rfm",
+        hist=_hist_cte(False),
+        cells=f"""SELECT *, CASE WHEN frequency > 0 THEN 1 / (1 + {a} / ({b} + frequency - 1)
+            * power(({alpha} + T) / ({alpha} + recency), {r} + frequency)) ELSE 1 END AS alive,
+          CASE WHEN frequency > 0 AND monetary > 0 THEN {p} * ({v} + frequency * monetary) / ({p} * frequency + {q} - 1)
+            ELSE {p} * {v} / ({q} - 1) END AS g FROM hist""",
+        zs=f"""SELECT *, list_transform(range(1, 13), lambda k: k * 52 / 12::DOUBLE / ({alpha} + T + k * 52 / 12::DOUBLE)) AS z
+          FROM cells""",
+        paths=f"""SELECT *, list_transform(z, lambda y: alive * ({a} + {b} + frequency - 1) / ({a} - 1) * (1 - power(1 - y, {r} + frequency)
+          * list_reduce(list_prepend(1::DOUBLE, list_transform(range(1500, -1, -1), lambda k: ({r} + frequency + k) * ({b} + frequency + k)
+            / (({a} + {b} + frequency - 1 + k) * (k + 1)) * y)), lambda acc, x: 1 + x * acc))) AS e FROM zs""",
+    )
+
+
+@query("clv_prediction_stated_fit", _stated_sql())
+def _(spark, d):
+    return _fitted(spark, d, *STATED)
+
+
+@query("clv_prediction_mle")
+def _(spark, d):
+    known = materialise(history(spark, d), "history")
+    out = E.predict_from_fits(known, V.fit_transactions(known, 0.01), V.fit_spend(known, 0.01))
+    return rounded(rounded(out, 8, "expected_transactions", "prob_alive"), 2, "expected_value", "clv")
+
+
 SURV = """SELECT *, date_diff('day', last_purchase, TIMESTAMP '2001-08-02 00:00:00') AS "T",
   (date_diff('day', last_purchase, TIMESTAMP '2001-08-02 00:00:00')
     <= date_diff('day', first_purchase, last_purchase) / greatest(frequency, 1) * 1.5)::INT AS "E" FROM rfm"""

@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from cartwright.operators.predictive import churn, clv, cluster, cox, recommend, survival
+from cartwright.operators.predictive import churn, clv, cluster, cox, lifetime, recommend, survival
 from cartwright.session import materialise
 
 
@@ -191,3 +191,43 @@ def test_als_lists_hold_no_bought_items(spark):
         ranks = sorted(r["rank"] for r in got if r["user"] == u)
         own = {i for v, i in bought if v == u}
         assert ranks == list(range(1, 1 + min(5, len(items - own))))
+
+
+def test_hypergeometric_against_known_forms():
+    z = np.linspace(0.01, 0.97, 40)
+    assert lifetime.hypergeometric(1, 1, 2, z) == pytest.approx(-np.log1p(-z) / z, rel=1e-12)
+    assert lifetime.hypergeometric(2.5, 1.7, 1.7, z) == pytest.approx((1 - z) ** -2.5, rel=1e-11)
+    assert lifetime.hypergeometric(0.5, -0.5, 0.5, z) == pytest.approx((1 - z) ** 0.5, rel=1e-11)
+    assert lifetime.hypergeometric(-2, 3, -1.5, z) == pytest.approx(1 + 4 * z + 16 * z**2, rel=1e-12)
+    with pytest.raises(ValueError):
+        lifetime.hypergeometric(1, 1, 2, 1.0)
+
+
+def test_expected_purchases_equal_simulated_customers():
+    """A customer with one repeat purchase: rate and drop-out drawn from their posterior by rejection, then the future simulated."""
+    params = {"r": 2.0, "alpha": 6.0, "a": 1.5, "b": 2.5}
+    rng = np.random.default_rng(3)
+    n, x, tx, age, ahead = 4_000_000, 1, 5.0, 9.0, 20.0
+    rate, drop = rng.gamma(2.0, 1 / 6.0, n), rng.beta(1.5, 2.5, n)
+    first = rng.exponential(1 / rate)
+    hit = np.abs(first - tx) < 0.1
+    rate, drop = rate[hit], drop[hit]
+    alive = rng.random(len(rate)) > drop
+    quiet = ~alive | (rng.exponential(1 / rate) > age - tx)
+    rate, drop, alive = rate[quiet], drop[quiet], alive[quiet]
+    # Expected purchases of an active customer within the horizon: (1 - exp(-rate p t)) / p.
+    future = alive * -np.expm1(-rate * drop * ahead) / drop
+    odds = 1.5 / (2.5 + x - 1) * ((6.0 + age) / (6.0 + tx)) ** (2.0 + x)
+    want = lifetime.expected_purchases(params, np.array([x]), np.array([age]), np.array([ahead]))[0] / (1 + odds)
+    assert want == pytest.approx(future.mean(), abs=5 * future.std() / np.sqrt(len(future)))
+
+
+def test_prediction_from_fits_odd_rows(spark):
+    fits = clv.Fit({"r": 1.0, "alpha": 2.0, "a": 1.0, "b": 0.4}, 0.0, 0), clv.Fit({"p": 2.0, "q": 0.9, "v": 10.0}, 0.0, 0)
+    rows = [(1, 0.0, 0.0, 5.0, 20.0), (2, 3.0, 2.0, 4.0, 30.0), (3, None, None, None, None), (2, 3.0, 2.0, 4.0, 30.0)]
+    history = spark.createDataFrame(rows, "customer_id long, frequency double, recency double, T double, monetary double")
+    got = lifetime.predict_from_fits(history, *fits).collect()
+    by = {r["customer_id"]: r for r in got}
+    assert len(got) == 4 and by[1]["prob_alive"] == 1.0 and by[1]["expected_value"] is None and by[2]["clv"] > 0
+    assert by[3]["expected_transactions"] is None
+    assert lifetime.predict_from_fits(history.limit(0), *fits).count() == 0
