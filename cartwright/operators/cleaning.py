@@ -43,8 +43,12 @@ def clean_customers(df: DataFrame, order_by: Sequence[str] = ("email",)) -> Data
     return keep_first(out, ["customer_id"], [c for c in order_by if c in out.columns])
 
 
-def clean_transactions(df: DataFrame, as_of: str, key: Sequence[str] = ("order_id",)) -> DataFrame:
-    """Typed dates, nothing after ``as_of``, positive amounts, first row per key by date."""
+def clean_transactions(df: DataFrame, as_of: str, key: Sequence[str]) -> DataFrame:
+    """Typed dates, nothing after ``as_of``, positive amounts, first row per key by date.
+
+    ``key`` names what identifies a row of the table, an order line as a rule (``contracts.line_key``): rows of one key are
+    repeats, and all but the first go.
+    """
     out = resolve_aliases(df).withColumn("transaction_date", F.col("transaction_date").cast("timestamp"))
     out = out.filter((F.col("transaction_date") <= F.lit(as_of).cast("timestamp")) & (F.col("revenue") > 0))
     return keep_first(out, list(key), ["transaction_date"])

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cartwright.operators import cleaning, quality, rfm
 from cartwright.sources import sinks
-from cartwright.sources.contracts import resolve_aliases
+from cartwright.sources.contracts import line_key, resolve_aliases
 
 
 @dataclass(frozen=True)
@@ -18,13 +18,20 @@ class FlowResult:
 
 
 def run(
-    spark: SparkSession, customers: DataFrame, products: DataFrame, transactions: DataFrame, out: str, as_of: str
+    spark: SparkSession,
+    customers: DataFrame,
+    products: DataFrame,
+    transactions: DataFrame,
+    out: str,
+    as_of: str,
+    key: list[str] | None = None,
 ) -> FlowResult:
     """Validate, clean, write silver, score from silver, write gold.
 
     Silver is written once and read back, so gold does not clean the raw tables again. Validation reports and does not
-    stop the flow.
+    stop the flow. ``key`` identifies a transaction row; by default it follows from the columns.
     """
+    key = key or line_key(resolve_aliases(transactions).columns)
     checks = {
         "customers": quality.verdict(quality.check_table(customers, quality.CUSTOMER_RULES)),
         "transactions": quality.verdict(quality.check_table(resolve_aliases(transactions), quality.transaction_rules(as_of))),
@@ -33,7 +40,7 @@ def run(
 
     sinks.write_parquet(cleaning.clean_customers(customers), f"{out}/silver/customers")
     sinks.write_parquet(products, f"{out}/silver/products")
-    sinks.write_facts(cleaning.clean_transactions(transactions, as_of), f"{out}/silver/transactions")
+    sinks.write_facts(cleaning.clean_transactions(transactions, as_of, key), f"{out}/silver/transactions")
     clean_customers = spark.read.parquet(f"{out}/silver/customers")
     clean_transactions = spark.read.parquet(f"{out}/silver/transactions")
 

@@ -73,6 +73,7 @@ CONTRACTS = {
 PRIMARY_KEYS = {
     "customers": ["customer_id"],
     "products": ["product_id"],
+    "transactions": ["order_id", "line_number"],
     "web_sessions": ["session_id"],
     "rfm_segments": ["customer_id"],
     "segment_profiles": ["segment"],
@@ -81,7 +82,7 @@ PRIMARY_KEYS = {
 
 # Accepted names per canonical column, first match wins.
 ALIASES = {
-    "order_id": ("transaction_id", "order_id"),
+    "order_id": ("order_id", "transaction_id"),
     "revenue": ("total_amount", "revenue"),
     "transaction_date": ("order_date", "transaction_date"),
 }
@@ -98,8 +99,18 @@ def conform(df: DataFrame, contract: T.StructType) -> DataFrame:
     )
 
 
+def line_key(columns: list[str]) -> list[str]:
+    """What identifies a line: its own id, else order and line number; one row an order where neither is there."""
+    if "transaction_id" in columns and "order_id" in columns:
+        return ["transaction_id"]
+    return [c for c in PRIMARY_KEYS["transactions"] if c in columns]
+
+
 def resolve_aliases(df: DataFrame, aliases: dict[str, tuple[str, ...]] = ALIASES) -> DataFrame:
-    """Rename whichever accepted spelling is present to the canonical column name."""
+    """Rename whichever accepted spelling is present to the canonical column name.
+
+    A line id beside a real order id stays a column of its own; it stands for the order only where there is no other.
+    """
     have, renames = set(df.columns), {}
     for canonical, names in aliases.items():
         present = next((n for n in names if n in have), None)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 WATERMARK = "10 minutes"
 
@@ -38,6 +39,32 @@ def unique_customers(events: DataFrame, watermark: str = WATERMARK, relative_err
     )
 
 
+def minute_sketches(events: DataFrame, watermark: str = WATERMARK, log_size: int = 12) -> DataFrame:
+    """One mergeable sketch of the customers of each minute: state and rows of fixed size, and every event read once.
+
+    The sketch has 2 ** ``log_size`` registers: a relative standard error of 1.04 / sqrt(2 ** log_size), 1.6 % for 12.
+    """
+    return (
+        events.withWatermark("ts", watermark)
+        .groupBy(F.window("ts", "1 minute").alias("w"))
+        .agg(F.hll_sketch_agg("user_id", log_size).alias("customers"))
+        .select(F.col("w.start").alias("minute"), "customers")
+    )
+
+
+def sliding_unique_customers(minutes: DataFrame, width: int = 5) -> DataFrame:
+    """Distinct customers in windows of ``width`` minutes sliding by one, from the table of :func:`minute_sketches`.
+
+    Sketches, not events, are copied into the windows they belong to.
+    """
+    starts = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda k: F.make_dt_interval(mins=-k))
+    return (
+        minutes.select("customers", "minute", F.explode(starts).alias("back"))
+        .groupBy((F.col("minute") + F.col("back")).alias("window_start"))
+        .agg(F.hll_sketch_estimate(F.hll_union_agg("customers")).alias("unique_customers"))
+    )
+
+
 def breakdown(events: DataFrame, dimension: str, window: str = "1 hour", watermark: str = WATERMARK) -> DataFrame:
     """Count and revenue per window and category, device or region."""
     return (
@@ -51,9 +78,9 @@ def breakdown(events: DataFrame, dimension: str, window: str = "1 hour", waterma
 def sessions(events: DataFrame, gap: str = "30 minutes", watermark: str = WATERMARK) -> DataFrame:
     """Customer sessions closed after ``gap`` without an event.
 
-    On a stream, sessions are merged inside each input partition first (as ``build_session`` sets it), so a customer with most
-    events reaches the final merge as sessions. A batch has no such setting: there all events of a customer meet in one task. Start and end are aggregates rather than fields of the window key:
-    the optimizer would push a filter on the key below the merge, onto single events.
+    For streams, where sessions are merged inside each input partition first (as ``build_session`` sets it), so that a customer with
+    most events reaches the final merge as sessions. A batch has no such setting: use :func:`batch_sessions` there. Start and end
+    are aggregates rather than fields of the window key: the optimizer would push a filter on the key below the merge, onto single events.
     """
     return (
         events.withWatermark("ts", watermark)
@@ -68,6 +95,44 @@ def sessions(events: DataFrame, gap: str = "30 minutes", watermark: str = WATERM
     )
 
 
+def batch_sessions(events: DataFrame, gap: str = "30 minutes") -> DataFrame:
+    """The sessions of :func:`sessions` over a table, however many events one customer has.
+
+    Time is cut into slices as long as the gap. All events of a customer in a slice belong to one session, so they fold to one
+    partial session (first, last, count, value) by ordinary aggregation, before the shuffle. Only partial sessions then meet in the
+    customer's order: their number is bounded by the slices of the calendar, not by the customer's events. A new session starts
+    where a slice's first event comes ``gap`` or more after the last event before it.
+
+    Events without a time belong to no session; those without a customer share one. Value is null where all values are.
+    """
+    zero = F.lit("1970-01-01").cast("timestamp")
+    length = F.unix_micros(zero + F.expr(f"INTERVAL {gap}")) - F.unix_micros(zero)
+    partial = (
+        events.filter(F.col("ts").isNotNull())
+        .groupBy("user_id", F.floor(F.unix_micros("ts") / length).alias("slice"))
+        .agg(
+            F.min("ts").alias("first"),
+            F.max("ts").alias("last"),
+            F.count(F.lit(1)).alias("n"),
+            F.sum(F.col("value").cast("decimal(18,4)")).alias("total"),
+        )
+    )
+    order = Window.partitionBy("user_id").orderBy("slice")
+    quiet = F.unix_micros("first") - F.unix_micros(F.lag("last").over(order)) >= length
+    numbered = partial.withColumn("fresh", F.coalesce(quiet, F.lit(True)).cast("long"))
+    numbered = numbered.withColumn("number", F.sum("fresh").over(order))
+    return (
+        numbered.groupBy("user_id", "number")
+        .agg(
+            F.min("first").alias("session_start"),
+            (F.max("last") + F.expr(f"INTERVAL {gap}")).alias("session_end"),
+            F.sum("n").alias("events"),
+            F.sum("total").cast("double").alias("value"),
+        )
+        .select("user_id", "session_start", "session_end", "events", "value")
+    )
+
+
 def deduplicated(events: DataFrame, key: str = "event_id", watermark: str = WATERMARK) -> DataFrame:
     """First arrival per event id within the watermark; state older than it is dropped."""
     return events.withWatermark("ts", watermark).dropDuplicatesWithinWatermark([key])

@@ -334,6 +334,16 @@ def _(spark, d):
     return live.unique_customers(event_batch(spark, d))
 
 
+@query(
+    "live_unique_customers_stream",
+    """SELECT date_trunc('minute', ts) - to_minutes(k) AS window_start, count(DISTINCT user_id) AS unique_customers
+    FROM events, (SELECT unnest([0, 1, 2, 3, 4]) AS k) GROUP BY 1""",
+)
+def _(spark, d):
+    minutes = drain(live.minute_sketches(event_stream(spark, d)), "update", ["minute"])
+    return ntz(live.sliding_unique_customers(minutes), "window_start")
+
+
 @query(
     "live_breakdown_stream",
     f"""SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS transactions, {money("value")} AS revenue
@@ -352,7 +362,7 @@ def _(spark, d):
         >= INTERVAL 30 MINUTE)::INT, 1) AS fresh FROM events)) GROUP BY user_id, no""",
 )
 def _(spark, d):
-    return ntz(live.sessions(event_batch(spark, d)), "session_start", "session_end")
+    return ntz(live.batch_sessions(event_batch(spark, d)), "session_start", "session_end")
 
 
 @query(

@@ -10,6 +10,8 @@ from cartwright.operators import quality as Q
 from cartwright.operators import scenarios as W
 from cartwright.operators import segments as S
 from cartwright.operators import timeline as L
+from cartwright.plans import medallion
+from cartwright.session import scratch_path
 from cartwright.sources import testtables as T
 from checks.reports import scored
 from checks.sqlbase import mean, money, sql
@@ -44,22 +46,41 @@ def _(spark, d):
     return C.clean_customers(raw_customers(spark, d))
 
 
+# Line numbers repeat within an order here, so a line is what its order, number, product and amounts say.
+LINE_KEY = ["order_id", "line_number", "product_id", "quantity", "revenue"]
+LINE = ["order_id", "line_number", "customer_id", "product_id", "transaction_date", "quantity", "revenue"]
+
+
+def raw_lines(spark, d):
+    """Every order line twice."""
+    lines = T.transactions(spark, d).select(*LINE)
+    return lines.unionByName(lines)
+
+
 @query(
     "clean_transactions",
     sql(
-        """SELECT order_id, line_number, customer_id, product_id, transaction_date, quantity, revenue FROM (
-        SELECT *, row_number() OVER (PARTITION BY order_id
-          ORDER BY transaction_date, line_number, customer_id, product_id, quantity, revenue) AS rn
-        FROM txn WHERE revenue > 0 AND transaction_date <= TIMESTAMP '2000-12-31') WHERE rn = 1""",
+        f"""SELECT DISTINCT {", ".join(LINE)} FROM txn
+        WHERE revenue > 0 AND transaction_date <= TIMESTAMP '2000-12-31'""",
         "txn",
     ),
 )
 def _(spark, d):
-    cols = ["order_id", "line_number", "customer_id", "product_id", "transaction_date", "quantity", "revenue"]
-    out = C.clean_transactions(T.transactions(spark, d).select(*cols), "2000-12-31")
+    out = C.clean_transactions(raw_lines(spark, d), "2000-12-31", LINE_KEY)
     return out.withColumn("transaction_date", F.col("transaction_date").cast("timestamp_ntz"))
 
 
+@query(
+    "medallion_gold",
+    sql("SELECT * FROM gold", "gold"),
+)
+def _(spark, d):
+    out = scratch_path(spark, "medallion")
+    medallion.run(spark, raw_customers(spark, d), T.products(spark, d), raw_lines(spark, d), out, T.SNAPSHOT, LINE_KEY)
+    scored = spark.read.parquet(f"{out}/gold/rfm_segmented")
+    return scored.withColumn("last_purchase", F.col("last_purchase").cast("timestamp_ntz"))
+
+
 def cents(x):
     return f"CAST(round(CAST({x} AS DECIMAL(20,6)), 2) AS DOUBLE)"
 

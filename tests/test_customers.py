@@ -53,7 +53,7 @@ def test_future_and_negative_transactions_go(spark):
         [("1", "2020-01-01", 100.0), ("2", "2030-01-01", 200.0), ("3", "2023-06-01", -50.0), ("1", "2021-01-01", 9.0)],
         "transaction_id string, order_date string, total_amount double",
     )
-    got = cleaning.clean_transactions(raw, "2025-01-01").collect()
+    got = cleaning.clean_transactions(raw, "2025-01-01", ["order_id"]).collect()
     assert [(r["order_id"], r["revenue"]) for r in got] == [("1", 100.0)]
 
 

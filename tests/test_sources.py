@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from cartwright.operators import cleaning
 from cartwright.plans import medallion
 from cartwright.session import materialise, release, scratch_root
 from cartwright.sources import contracts, readers, sinks, testtables
@@ -52,6 +53,16 @@ def test_contract_and_aliases(spark):
     assert named.columns == ["order_id", "revenue", "transaction_date"]
     typed = contracts.conform(named, contracts.TRANSACTIONS)
     assert typed.schema == contracts.TRANSACTIONS and typed.first()["order_id"] == 5
+    both = contracts.resolve_aliases(raw.withColumn("order_id", F.lit(9)))
+    assert both.first()["order_id"] == 9 and contracts.line_key(both.columns) == ["transaction_id"]
+    assert contracts.line_key(["order_id", "line_number", "x"]) == ["order_id", "line_number"] and contracts.line_key(["order_id"]) == ["order_id"]
+
+
+def test_every_distinct_line_stays(spark):
+    rows = [(1, 1, "2020-01-01", 5.0), (1, 2, "2020-01-01", 6.0), (1, 2, "2020-01-01", 6.0), (2, 1, "2020-01-03", -1.0)]
+    raw = spark.createDataFrame(rows, "order_id long, line_number int, transaction_date string, revenue double")
+    got = cleaning.clean_transactions(raw, "2025-01-01", contracts.line_key(raw.columns)).collect()
+    assert sorted((r["order_id"], r["line_number"]) for r in got) == [(1, 1), (1, 2)]
 
 
 def test_materialised_table_is_shared_and_released(spark):

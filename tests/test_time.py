@@ -84,6 +84,48 @@ def test_streams_equal_batch(spark, tmp_path):
     assert closed == every
 
 
+def test_batch_sessions_equal_session_windows_and_split_a_hot_customer(spark):
+    rng = np.random.default_rng(4)
+    n = 4000
+    user = np.where(rng.random(n) < 0.5, 1, rng.integers(2, 60, n))
+    at = pd.Timestamp("2024-03-01") + pd.to_timedelta(rng.integers(0, 3 * 86_400, n), unit="s")
+    pdf = pd.DataFrame({"user_id": user, "ts": at, "value": rng.random(n).round(2)})
+    edge = pd.Timestamp("2024-04-01")  # exactly one gap between two events
+    pdf = pd.concat((pdf, pd.DataFrame({"user_id": [70, 70, 71, 71], "ts": [edge, edge + pd.Timedelta("5min"), edge, edge + pd.Timedelta("299s")],
+                                        "value": [1.0, 2.0, 3.0, 4.0]})))
+    batch = spark.createDataFrame(pdf).repartition(6).withColumn("ts", F.col("ts").cast("timestamp"))
+    order = ["user_id", "session_start"]
+    got = live.batch_sessions(batch, "5 minutes").toPandas().sort_values(order).reset_index(drop=True)
+    want = []
+    for u, g in pdf.sort_values("ts").groupby("user_id"):
+        number = (g["ts"].diff() >= pd.Timedelta("5min")).cumsum()
+        want += [(u, s["ts"].min(), s["ts"].max() + pd.Timedelta("5min"), len(s), round(s["value"].sum(), 4)) for _, s in g.groupby(number)]
+    assert [tuple(r) for r in got.round({"value": 4}).itertuples(index=False)] == sorted(want)
+    # Folded before the shuffle: no window or session is computed on single events.
+    plan = live.batch_sessions(batch)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan and "SessionWindow" not in plan and "MergingSessions" not in plan
+    odd = spark.createDataFrame([(None, None, 1.0), (5, None, 1.0), (None, edge.to_pydatetime(), None)], "user_id long, ts timestamp, value double")
+    assert [(r["user_id"], r["events"], r["value"]) for r in live.batch_sessions(odd).collect()] == [(None, 1, None)]
+    assert live.batch_sessions(batch.limit(0)).count() == 0
+
+
+def test_sketched_unique_customers_within_their_error(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    start = pd.Timestamp("2024-05-01")
+    pdf = pd.DataFrame({"user_id": rng.integers(0, 20_000, 60_000), "ts": start + pd.to_timedelta(rng.integers(0, 900, 60_000), unit="s")})
+    path = str(tmp_path / "visits")
+    spark.createDataFrame(pdf).withColumn("ts", F.col("ts").cast("timestamp")).repartition(5).write.parquet(path)
+    stream = spark.readStream.schema("user_id long, ts timestamp").option("maxFilesPerTrigger", 2).parquet(path)
+    minutes = drain(live.minute_sketches(stream, "1 hour"), "update", ["minute"])
+    assert minutes.count() == 15
+    got = {r["window_start"]: r["unique_customers"] for r in live.sliding_unique_customers(minutes).collect()}
+    assert len(got) == 19
+    for window, estimate in got.items():
+        low = pd.Timestamp(window)
+        exact = pdf.loc[(pdf["ts"] >= low) & (pdf["ts"] < low + pd.Timedelta("5min")), "user_id"].nunique()
+        assert abs(estimate - exact) <= 4 * 0.0163 * exact + 1
+
+
 def test_alarm_state_carries_over_batches(spark, tmp_path):
     values, path = shifted(), str(tmp_path / "points")
     rows = [("s", pd.Timestamp("2024-01-01") + pd.Timedelta(hours=i), float(v)) for i, v in enumerate(values)]
