@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from cartwright.functions import attach_row, ratio
 from cartwright.functions.tails import t_p_value
+from cartwright.operators.causal.matching import match_units
 from cartwright.operators.experiments.resample import bootstrap_sums
-from cartwright.operators.ordering import with_global_order
 from cartwright.session import materialise
 
 
@@ -36,71 +36,23 @@ def with_propensity(units: DataFrame, covariates: list[str], treatment: str = "t
     return scored.drop("_x", "_label", "_prob", "_raw", "_class")
 
 
-def _one_round(pool: DataFrame, caliper: float) -> DataFrame:
-    """Disjoint treated/control pairs from one pass over the propensity order.
-
-    The order falls into runs of one arm. At the border between two runs, the k-th unit to its left faces the k-th to
-    its right; a unit thus has at most two partners, one per border, and a pair is taken when both prefer it. Units
-    never meet more than these two partners, and the closest pair of all is always taken.
-    """
-    ordered = with_global_order(
-        pool.withColumns({"is_t": F.col("treated").cast("long"), "is_c": 1 - F.col("treated").cast("long")}),
-        ["propensity", F.xxhash64("id"), "id"],
-        sums={"cum_t": "is_t", "cum_c": "is_c"},
-    )
-    # Treated units with equally many controls before them form a run, and the other way round.
-    run = F.when(F.col("treated") == 1, F.col("cum_c")).otherwise(F.col("cum_t"))
-    placed = ordered.select("id", "treated", "propensity", "rank", run.alias("run"))
-    ends = placed.groupBy("treated", "run").agg(F.min("rank").alias("first"), F.max("rank").alias("last"))
-    sides = F.explode(
-        F.array(
-            F.struct(F.col("last").alias("border"), (F.col("last") - F.col("rank") + 1).alias("k")),
-            F.struct((F.col("first") - 1).alias("border"), (F.col("rank") - F.col("first") + 1).alias("k")),
-        )
-    )
-    facing = placed.join(ends, ["treated", "run"]).select("id", "treated", "propensity", sides.alias("s"))
-    is_t = F.col("treated") == 1
-    pairs = (
-        facing.groupBy("s.border", "s.k")
-        .agg(
-            F.max(F.when(is_t, F.col("id"))).alias("t_id"),
-            F.max(F.when(~is_t, F.col("id"))).alias("c_id"),
-            F.abs(F.max(F.when(is_t, F.col("propensity"))) - F.max(F.when(~is_t, F.col("propensity")))).alias("d"),
-        )
-        .filter(F.col("t_id").isNotNull() & F.col("c_id").isNotNull() & (F.col("d") < caliper))
-    )
-    wish = F.struct("d", "border", "k", "t_id", "c_id")
-    wishes = pairs.select(F.explode(F.array(F.col("t_id"), F.col("c_id"))).alias("id"), wish.alias("wish"))
-    preferred = wishes.groupBy("id").agg(F.min("wish").alias("wish"))
-    agreed = preferred.groupBy("wish").agg(F.count(F.lit(1)).alias("votes")).filter("votes = 2")
-    return agreed.select("wish.t_id", "wish.c_id", F.col("wish.d").alias("distance"))
-
-
-def match_pairs(units: DataFrame, caliper: float = 0.05, matching_ratio: int = 1, key: str = "customer_id") -> DataFrame:
-    """Nearest-neighbour matching within a caliper, without replacement: t_id, c_id, distance, match_no.
+def match_pairs(
+    units: DataFrame, caliper: float = 0.05, matching_ratio: int = 1, key: str = "customer_id", per_range: int = 200_000
+) -> DataFrame:
+    """Greedy nearest-pair matching within a caliper, without replacement: t_id, c_id, distance, match_no.
 
-    Rounds repeat until no treated and control unit within the caliper are both free. Each round is a bounded number of
-    shuffles over the free units and is written, so rounds do not stack up lineage. ``matching_ratio`` asks for that
-    many controls per treated unit, filled one pass after the other.
+    ``matching_ratio`` asks for that many controls per treated unit, filled one pass after the other over the controls
+    that are left. Units without an arm or a score are left out.
     """
-    free = units.select(F.col(key).alias("id"), F.col("treatment").cast("int").alias("treated"), "propensity")
+    free = units.select(F.col(key).alias("id"), F.col("treatment").cast("int").alias("treated"), F.col("propensity").cast("double"))
     free = materialise(free.dropna(), "pool")
-    treated = free.filter("treated = 1")
-    controls = free.filter("treated = 0")
     found: list[DataFrame] = []
     for match_no in range(1, matching_ratio + 1):
-        pool = treated.unionByName(controls)
-        while True:
-            pairs = materialise(_one_round(pool, caliper).withColumn("match_no", F.lit(match_no)), "pairs")
-            if pairs.isEmpty():
-                break
-            found.append(pairs)
-            used = pairs.select(F.explode(F.array("t_id", "c_id")).alias("id"))
-            pool = materialise(pool.join(used, "id", "left_anti"), "pool")
-            controls = controls.join(pairs.select(F.col("c_id").alias("id")), "id", "left_anti")
-        controls = materialise(controls, "controls")
-    if not found:
-        return pool.sparkSession.createDataFrame([], "t_id long, c_id long, distance double, match_no int")
+        pairs = materialise(match_units(free, caliper, per_range).withColumn("match_no", F.lit(match_no)), "pairs")
+        found.append(pairs)
+        if match_no < matching_ratio:
+            taken = pairs.select(F.col("c_id").alias("id"), F.lit(0).alias("treated"))
+            free = materialise(free.join(taken, ["id", "treated"], "left_anti"), "pool")
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)

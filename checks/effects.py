@@ -76,6 +76,38 @@ def _(spark, d):
     return A.match_pairs(A.with_propensity(units(spark, d), COVARIATES), 0.05)
 
 
+@query(
+    "propensity_matched_scores",
+    sql(
+        """SELECT tv AS treated_score, cv AS control_score, CAST(sum(n) AS BIGINT) AS pairs, round(abs(tv - cv), 8) AS distance
+        FROM (SELECT tv, cv, n FROM st WHERE n IS NOT NULL UNION ALL SELECT v, v, least(t, c) FROM ce WHERE least(t, c) > 0)
+        GROUP BY tv, cv""",
+        "rfm",
+        "cust",
+        un=UNITS,
+        ce="SELECT propensity AS v, sum(treatment) AS t, count(*) - sum(treatment) AS c FROM un GROUP BY 1",
+        st="""SELECT * FROM (WITH RECURSIVE go(s, tv, cv, n) AS (
+          SELECT list({'v': v, 'k': (t - c)::BIGINT} ORDER BY v) FILTER (t <> c), NULL::DOUBLE, NULL::DOUBLE, NULL::BIGINT FROM ce
+          UNION ALL
+          SELECT list_filter(list_transform(s, lambda x, i: {'v': x.v,
+              'k': CASE WHEN i IN (b, b + 1) THEN x.k - sign(x.k)::BIGINT * m ELSE x.k END}), lambda x: x.k <> 0),
+            CASE WHEN s[b].k > 0 THEN s[b].v ELSE s[b + 1].v END, CASE WHEN s[b].k > 0 THEN s[b + 1].v ELSE s[b].v END, m
+          FROM (SELECT *, least(abs(s[b].k), abs(s[b + 1].k)) AS m FROM (SELECT s, list_sort(list_filter(list_transform(
+              range(1, len(s)), lambda i: {'d': s[i + 1].v - s[i].v, 'i': i}),
+              lambda x: x.d < 0.05::DOUBLE AND s[x.i].k * s[x.i + 1].k < 0))[1].i AS b FROM go) WHERE b IS NOT NULL))
+          SELECT * FROM go)""",
+    ),
+)
+def _(spark, d):
+    u = with_fixed_propensity(units(spark, d))
+    score = u.select(F.col("customer_id").alias("id"), "propensity")
+    pairs = A.match_pairs(u, 0.05)
+    pairs = pairs.join(score.withColumnsRenamed({"id": "t_id", "propensity": "treated_score"}), "t_id")
+    pairs = pairs.join(score.withColumnsRenamed({"id": "c_id", "propensity": "control_score"}), "c_id")
+    counted = pairs.groupBy("treated_score", "control_score").agg(F.count(F.lit(1)).alias("pairs"))
+    return counted.withColumn("distance", F.round(F.abs(F.col("treated_score") - F.col("control_score")), 8))
+
+
 @query("propensity_matched_att")
 def _(spark, d):
     u = A.with_propensity(units(spark, d), COVARIATES)

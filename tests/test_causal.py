@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from cartwright.operators.causal import panel, propensity
+from cartwright.operators.causal import matching, panel, propensity
 from cartwright.session import materialise
 
 
@@ -57,6 +57,71 @@ def test_matching_ratio(spark):
     assert (pairs["t_id"].value_counts() == 2).any()
 
 
+def greedy(units, caliper):
+    """Closest free pair of scores first, ties to the lower score, one unit at a time."""
+    free = {a: sorted(units.loc[units["treatment"] == a, "propensity"]) for a in (0, 1)}
+    out = []
+    while True:
+        best = min(((abs(t - c), min(t, c), t, c) for t in set(free[1]) for c in set(free[0]) if abs(t - c) < caliper), default=None)
+        if best is None:
+            return sorted(out)
+        free[1].remove(best[2])
+        free[0].remove(best[3])
+        out.append(best[2:])
+
+
+@pytest.mark.parametrize("per_range", [9, 1000])
+@pytest.mark.parametrize("shape", ["spread", "hot", "shrinking", "blocks"])
+def test_matching_equals_greedy_over_any_ranges(spark, shape, per_range):
+    rng = np.random.default_rng(8)
+    n = 120
+    t = (rng.random(n) < 0.4).astype(int)
+    p = {
+        "spread": rng.random(n),
+        "hot": np.where(rng.random(n) < 0.5, 0.31, rng.random(n)),
+        "shrinking": 0.9 - 0.5 * 0.97 ** np.arange(n),  # every gap is smaller than the one before
+        "blocks": np.where(t == 1, 0.4, 0.41) + rng.random(n) / 50,
+    }[shape]
+    if shape == "shrinking":
+        t = np.arange(n) % 2
+    units = pd.DataFrame({"customer_id": np.arange(n), "treatment": t, "propensity": p})
+    pairs = propensity.match_pairs(spark.createDataFrame(units), 0.05, per_range=per_range).toPandas()
+    check_matching(pairs, units, 0.05)
+    score = units.set_index("customer_id")["propensity"]
+    assert sorted(zip(score[pairs["t_id"]], score[pairs["c_id"]])) == greedy(units, 0.05)
+
+
+def test_settled_ranges_give_what_one_heap_gives():
+    rng = np.random.default_rng(9)
+    for _ in range(300):
+        n = int(rng.integers(2, 40))
+        value = np.sort(rng.random(n))
+        arm, count = rng.integers(0, 2, n), rng.integers(1, 5, n)
+        whole = matching.settle(value, arm, count, -np.inf, np.inf, 0.1)[0]
+        cut = int(rng.integers(1, n))
+        rest = []
+        parts = []
+        for lo, hi in ((0, cut), (cut, n)):
+            low = value[lo - 1] if lo else -np.inf
+            high = value[hi] if hi < n else np.inf
+            pairs, used, open_ = matching.settle(value[lo:hi], arm[lo:hi], count[lo:hi], low, high, 0.1)
+            parts += [(t + lo, a, c + lo, b, k) for t, a, c, b, k in pairs]
+            rest += [(i + lo, used[i]) for i in np.flatnonzero(open_)]
+        if rest:
+            at, used = map(np.array, zip(*rest))
+            pairs = matching.settle(value[at], arm[at], count[at] - used, -np.inf, np.inf, 0.1)[0]
+            parts += [(at[t], a + used[t], at[c], b + used[c], k) for t, a, c, b, k in pairs]
+        assert sorted(parts) == sorted(whole)
+
+
+def test_matching_odd_tables(spark):
+    rows = [(1, 1, 0.5), (2, 1, None), (3, None, 0.5), (4, 0, 0.5), (5, 0, 0.9)]
+    units = spark.createDataFrame(rows, "customer_id long, treatment int, propensity double")
+    assert [(r["t_id"], r["c_id"], r["distance"]) for r in propensity.match_pairs(units).collect()] == [(1, 4, 0.0)]
+    assert propensity.match_pairs(units.limit(0)).count() == 0
+    assert propensity.match_pairs(units, 0.0).count() == 0
+
+
 def test_effect_is_recovered(spark):
     units = materialise(propensity.with_propensity(spark.createDataFrame(observational()), ["age", "income"]))
     pairs = propensity.match_pairs(units, 0.1)
