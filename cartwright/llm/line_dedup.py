@@ -1,102 +1,96 @@
-"""Removal of repeated lines or paragraphs across a corpus.
+"""Removal of passages that repeat across a corpus, by hashing lines and sentences.
 
-Texts are cut into units; each unit is normalised (A-Z folded, white space runs as one space, trimmed) and hashed. Digests
-are grouped globally; the earliest occurrence by (document key, position) stays and every later one is removed, keeping the
-original character offsets of what was cut. Digests are counted by partial aggregation, so a unit found in a third of all
-documents is one small row per task, and the join back to the occurrences is left to skew splitting.
+Texts are cut into units behind line ends and behind sentence ends; each unit is normalised (A-Z folded, white space runs as one
+space, trimmed) and hashed. Digests are grouped globally; the earliest occurrence by (document key, position) stays. A
+*repeated passage* of a document is a longest run of neighbouring units that all occur elsewhere too (units without visible
+characters are passed over), of at least ``min_chars`` normalised characters in all. So one stock line does not mark a document, and a
+passage is found over several lines, from the middle of a line, or in a script without spaces. Later occurrences inside
+repeated passages are removed, keeping the original character offsets of what was cut.
 
-Defined cases: a null text has no units and stays null; units under ``min_words`` words (empty lines among them) are never
-removed; repeated rows count as later occurrences; rows without a key rank last and are treated like the others.
+``min_chars=0`` is the plain form: every repeated unit counts by itself. ``LINES`` and ``PARAGRAPHS`` are other ways to cut.
+
+Digests are counted by partial aggregation, so a unit found in a third of all documents is one small row per task, and the join
+back to the occurrences is left to skew splitting. What is ordered together is one document's units.
+
+Defined cases: null and empty texts have no units and stay as they are; units without visible characters are never removed;
+repeated rows count as later occurrences; rows without a key rank last and are treated like the others.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwright.session import materialise
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SPACES = "[\\x20\\x09-\\x0D]+"
+# A unit reaches up to and including what ends it: a line feed, or sentence marks with a space (full-width ones alone).
+SENTENCES = r"(?s).*?(?:\n|[.!?]+[ \t]|[。！？]|\z)"
+LINES = r"(?s).*?(?:\n|\z)"
+PARAGRAPHS = r"(?s).*?(?:\n[ \t]*\n|\z)"
 
 
 def normalise(unit: Column) -> Column:
     return F.translate(F.btrim(F.regexp_replace(unit, _SPACES, " ")), _UPPER, _LOWER)
 
 
-def units(docs: DataFrame, separator: str = "\n", key: str = "doc_id") -> DataFrame:
-    """_row, _key, unit number, start and end character offsets, digest, words of every unit."""
+def units(docs: DataFrame, pattern: str = SENTENCES, key: str = "doc_id") -> DataFrame:
+    """_row, _key, unit number, characters, normalised characters and digest of every unit; one row with unit null without any."""
     cut = docs.select(
         F.col(key).alias("_key"),
         F.monotonically_increasing_id().alias("_row"),
-        F.split(F.col("text"), separator).alias("parts"),
+        F.filter(F.regexp_extract_all("text", F.lit(pattern), F.lit(0)), lambda u: u != "").alias("parts"),
     )
-    # End offsets as running sums of lengths; a separator is one character per character of the pattern.
-    gap = len(separator)
-    listed = cut.select("_key", "_row", F.posexplode("parts").alias("unit", "part"))
+    listed = cut.select("_key", "_row", F.posexplode_outer("parts").alias("unit", "part"))
     normal = normalise(F.col("part"))
     return listed.select(
-        "_key",
-        "_row",
-        "unit",
-        (F.length("part") + gap).alias("span"),
-        F.sha2(normal, 256).substr(1, 32).alias("digest"),
-        F.when(normal == "", 0).otherwise(F.length(normal) - F.length(F.replace(normal, F.lit(" "), F.lit(""))) + 1).alias("words"),
+        "_key", "_row", "unit", F.length("part").alias("size"), F.length(normal).alias("chars"),
+        F.when(normal != "", F.sha2(normal, 256).substr(1, 32)).alias("digest"),
     )
 
 
-def repeated_units(docs: DataFrame, separator: str = "\n", min_words: int = 5, key: str = "doc_id") -> DataFrame:
-    """One row per document: _row, key, n_units, n_removed, removed (array of start/end character offsets, in order)."""
-    listed = materialise(units(docs, separator, key), "units")
-    counted = listed.filter(F.col("words") >= min_words)
+def repeated_units(docs: DataFrame, pattern: str = SENTENCES, min_chars: int = 200, key: str = "doc_id") -> DataFrame:
+    """One row per document: _row, key, n_units, n_repeated (units in repeated passages, kept ones included), n_removed, removed
+    (array of start/end character offsets of the later occurrences, in order)."""
+    listed = materialise(units(docs, pattern, key), "units")
     rank = F.struct(F.col("_key").isNull().alias("last"), F.col("_key"), F.col("_row"), F.col("unit"))
-    firsts = counted.groupBy("digest").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    firsts = materialise(firsts.select(
+    firsts = listed.filter(F.col("digest").isNotNull()).groupBy("digest").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n"))
+    firsts = materialise(firsts.filter("n > 1").select(
         F.col("digest").alias("_digest"), F.col("first._row").alias("_first_row"), F.col("first.unit").alias("_first_unit")
     ), "firsts")
-    later = counted.join(firsts, F.col("digest") == F.col("_digest")).filter(
-        (F.col("_row") != F.col("_first_row")) | (F.col("unit") != F.col("_first_unit"))
-    ).select("_row", "unit")
-    # Bounded by the units of one document.
-    marks = later.groupBy("_row").agg(F.collect_set("unit").alias("cut"))
-    docs_units = listed.groupBy("_row").agg(
-        F.first("_key").alias("_key"), F.sort_array(F.collect_list(F.struct("unit", "span"))).alias("spans")
+    marked = listed.join(firsts, F.col("digest") == F.col("_digest"), "left")
+    order = Window.partitionBy("_row").orderBy("unit")
+    repeated, blank = F.col("_digest").isNotNull(), F.col("digest").isNull()
+    # A run ends at every unit that occurs nowhere else; with the plain form every unit is a run.
+    ends = (~repeated & ~blank) if min_chars else F.lit(True)
+    placed = marked.select(
+        "_row", "_key", "unit", "size", "chars", repeated.alias("repeated"),
+        ((F.col("_row") != F.col("_first_row")) | (F.col("unit") != F.col("_first_unit"))).alias("later"),
+        (F.sum("size").over(order) - F.col("size")).alias("start"),
+        F.sum(ends.cast("int")).over(order).alias("run"),
     )
-    joined = docs_units.join(marks, "_row", "left")
-    gap = len(separator)
-    # Running end offsets of all units, then the cut ones.
-    placed = F.aggregate(
-        "spans",
-        F.struct(F.lit(0).cast("long").alias("at"),
-                 F.array().cast("array<struct<start:bigint,end:bigint>>").alias("out")),
-        lambda acc, u: F.struct(
-            (acc["at"] + u["span"]).alias("at"),
-            F.when(
-                F.array_contains(F.coalesce("cut", F.array().cast("array<int>")), u["unit"]),
-                F.concat(acc["out"], F.array(F.struct(acc["at"].alias("start"), (acc["at"] + u["span"] - gap).alias("end")))),
-            ).otherwise(acc["out"]).alias("out"),
-        ),
-        lambda acc: acc["out"],
+    length = F.sum(F.when(F.col("repeated"), F.col("chars"))).over(Window.partitionBy("_row", "run"))
+    inside = F.col("repeated") & (length >= min_chars)
+    span = F.struct(F.col("start").alias("start"), (F.col("start") + F.col("size")).alias("end"))
+    cut = placed.withColumn("inside", F.coalesce(inside, F.lit(False)))
+    return cut.groupBy("_row").agg(
+        F.first("_key").alias(key),
+        F.count("unit").alias("n_units"),
+        F.count(F.when(F.col("inside"), 1)).alias("n_repeated"),
+        F.count(F.when(F.col("inside") & F.col("later"), 1)).alias("n_removed"),
+        F.sort_array(F.collect_list(F.when(F.col("inside") & F.col("later"), span))).alias("removed"),  # bounded by one document
     )
-    found = joined.select(
-        F.col("_key").alias(key), "_row", F.size("spans").cast("long").alias("n_units"),
-        F.when(F.col("cut").isNull(), F.array().cast("array<struct<start:bigint,end:bigint>>")).otherwise(placed).alias("removed"),
-    )
-    return found.withColumn("n_removed", F.size("removed").cast("long"))
 
 
-def remove_repeats(docs: DataFrame, separator: str = "\n", min_words: int = 5, key: str = "doc_id") -> DataFrame:
+def remove_repeats(docs: DataFrame, pattern: str = SENTENCES, min_chars: int = 200, key: str = "doc_id") -> DataFrame:
     """``docs`` with later occurrences cut from their texts and ``removed_spans`` added; keys must be unique."""
-    found = repeated_units(docs.filter(F.col(key).isNotNull()), separator, min_words, key).filter("n_removed > 0")
+    found = repeated_units(docs.filter(F.col(key).isNotNull()), pattern, min_chars, key).filter("n_removed > 0")
     marks = found.select(F.col(key).alias("_found"), F.col("removed").alias("removed_spans"))
     joined = docs.join(marks, docs[key] == F.col("_found"), "left").drop("_found")
-    gap = len(separator)
-    kept = F.aggregate(
-        F.reverse("removed_spans"),  # from the end, so that earlier offsets stay true
-        F.col("text"),
-        lambda text, s: F.concat(
-            F.substr(text, F.lit(1), (s["start"]).cast("int")), F.substr(text, (s["end"] + gap + 1).cast("int"))
-        ),
-    )
+    # What stays lies between the end of one span and the start of the next.
+    starts = F.concat(F.array(F.lit(0).cast("long")), F.col("removed_spans.end"))
+    stops = F.concat(F.col("removed_spans.start"), F.array(F.length("text").cast("long")))
+    kept = F.array_join(F.zip_with(starts, stops, lambda a, b: F.substr("text", (a + 1).cast("int"), (b - a).cast("int"))), "")
     text = F.when(F.col("removed_spans").isNull(), F.col("text")).otherwise(kept)
     return joined.select(*[text.alias(c) if c == "text" else F.col(c) for c in docs.columns], "removed_spans")

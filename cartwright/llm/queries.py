@@ -76,7 +76,7 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.repeated_units(_table(spark, sf_dir, "documents"))
     spans = F.transform("removed", lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string")))
-    return found.select("doc_id", "n_units", "n_removed", F.concat_ws(",", spans).alias("removed_spans"))
+    return found.select("doc_id", "n_units", "n_repeated", "n_removed", F.concat_ws(",", spans).alias("removed_spans"))
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -108,16 +108,20 @@ SELECT doc_id, size, source_size, target, (coalesce(copies, 0) * size)::BIGINT A
 _NORMAL = _FOLD.format(r"trim(regexp_replace(part, '[\x20\x09-\x0D]+', ' ', 'g'))")
 
 LINES = f"""
-WITH p AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS part, generate_subscripts(string_split(text, chr(10)), 1) AS u
-      FROM documents WHERE text IS NOT NULL),
-    n AS (SELECT doc_id, u, length(part) AS len, {_NORMAL} AS norm FROM p),
-    o AS (SELECT *, sum(len + 1) OVER (PARTITION BY doc_id ORDER BY u) - len - 1 AS start,
-      CASE WHEN norm = '' THEN 0 ELSE len(string_split(norm, ' ')) END AS words FROM n),
-    r AS (SELECT *, CASE WHEN words >= 5 THEN row_number() OVER (PARTITION BY words >= 5, norm ORDER BY doc_id, u) ELSE 1 END AS rank
-      FROM o)
-SELECT doc_id, count(*)::BIGINT AS n_units, count(*) FILTER (rank > 1)::BIGINT AS n_removed,
-    coalesce(string_agg(start::BIGINT || '-' || (start + len)::BIGINT, ',' ORDER BY u) FILTER (rank > 1), '') AS removed_spans
-FROM r GROUP BY doc_id
+WITH p AS (SELECT doc_id, list_filter(regexp_extract_all(text, '(?s).*?(?:\\n|[.!?]+[ \\t]|[。！？]|\\z)'), lambda x: x <> '') AS parts FROM documents),
+    q AS (SELECT doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS u FROM p),
+    n AS (SELECT doc_id, u, length(part) AS len, {_NORMAL} AS norm FROM q),
+    c AS (SELECT *, count(*) OVER (PARTITION BY norm) AS copies, row_number() OVER (PARTITION BY norm ORDER BY doc_id, u) AS rank,
+      sum(len) OVER (PARTITION BY doc_id ORDER BY u) - len AS start FROM n),
+    v AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY u) AS place FROM c WHERE norm <> ''),
+    -- Neighbouring repeated units have the same difference of place and number among the repeated ones.
+    g AS (SELECT *, place - row_number() OVER (PARTITION BY doc_id ORDER BY u) AS run FROM v WHERE copies > 1),
+    r AS (SELECT * FROM (SELECT *, sum(length(norm)) OVER (PARTITION BY doc_id, run) AS chars FROM g) WHERE chars >= 200),
+    d AS (SELECT doc_id, count(*) AS n_repeated, count(*) FILTER (rank > 1) AS n_removed,
+      string_agg(start::BIGINT || '-' || (start + len)::BIGINT, ',' ORDER BY u) FILTER (rank > 1) AS spans FROM r GROUP BY doc_id)
+SELECT p.doc_id AS doc_id, coalesce(len(parts), 0)::BIGINT AS n_units, coalesce(n_repeated, 0)::BIGINT AS n_repeated,
+    coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(spans, '') AS removed_spans
+FROM p LEFT JOIN d ON p.doc_id = d.doc_id
 """
 
 JACCARD = f"""

@@ -246,13 +246,33 @@ def test_line_dedup_keeps_the_earliest(spark):
     line = "alpha beta gamma delta epsilon zeta"
     rows = [(3, f"x\n{line}\ny", "s"), (2, f"{line.upper()}\nhead", "s"), (4, f"{line}\nz\n  alpha  beta gamma delta epsilon zeta", "s"),
             (5, None, "s"), (6, "", "s"), (8, "x\nx", "s"), (9, LONG, "s"), (10, LONG, "s")]
-    got = {r["doc_id"]: [(s["start"], s["end"]) for s in r["removed"]] for r in line_dedup.repeated_units(docs(spark, rows)).collect()}
+    found = line_dedup.repeated_units(docs(spark, rows), line_dedup.LINES, 0).collect()
+    got = {r["doc_id"]: [(s["start"], s["end"]) for s in r["removed"]] for r in found}
     n = len(line)
-    assert got == {2: [], 3: [(2, 2 + n)], 4: [(0, n), (n + 3, 2 * n + 6)], 6: [], 8: [], 9: [], 10: [(0, len(LONG))]}
-    texts = {r["doc_id"]: r["text"] for r in line_dedup.remove_repeats(docs(spark, rows)).collect()}
+    assert got == {2: [], 3: [(2, 3 + n)], 4: [(0, n + 1), (n + 3, 2 * n + 6)], 5: [], 6: [], 8: [(0, 2), (2, 3)], 9: [], 10: [(0, len(LONG))]}
+    texts = {r["doc_id"]: r["text"] for r in line_dedup.remove_repeats(docs(spark, rows), line_dedup.LINES, 0).collect()}
     assert texts[3] == "x\ny" and texts[4] == "z\n" and texts[2].startswith("ALPHA") and texts[5] is None and texts[10] == ""
     assert line_dedup.repeated_units(docs(spark, rows).limit(0)).count() == 0
-    assert line_dedup.repeated_units(docs(spark, ODD)).count() == len(ODD) - 1
+    odd = line_dedup.repeated_units(docs(spark, ODD)).collect()
+    assert len(odd) == len(ODD) and all(r["n_units"] == 0 for r in odd if r["doc_id"] in (1, 2))
+
+
+def test_repeated_passages_over_lines_and_in_scripts_without_spaces(spark):
+    rng = random.Random(11)
+    sentence = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(9)) + ". "
+    passage = [sentence() for _ in range(5)]
+    split = "".join(passage[:2]).rstrip() + "\n" + "".join(passage[2:])
+    unspaced = "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(230)) + "。"
+    rows = [
+        (1, sentence() + "".join(passage) + sentence(), "s"),  # the earliest
+        (2, "Own words first. " + split + "own end", "s"),  # over two lines and from the middle of one
+        (3, passage[0] + sentence() + passage[3] + sentence(), "s"),  # single repeated sentences: too short
+        (4, "前。" + unspaced + "後。", "s"), (5, unspaced, "s"), (6, None, "s"),
+    ]
+    got = {r["doc_id"]: r for r in line_dedup.repeated_units(docs(spark, rows)).collect()}
+    assert [(got[i]["n_repeated"], got[i]["n_removed"]) for i in range(1, 7)] == [(5, 0), (5, 5), (0, 0), (1, 0), (1, 1), (0, 0)]
+    texts = {r["doc_id"]: r["text"] for r in line_dedup.remove_repeats(docs(spark, rows)).collect()}
+    assert texts[2] == "Own words first. own end" and texts[5] == "" and texts[1] == rows[0][1] and texts[6] is None
 
 
 # --- mixing -------------------------------------------------------------------------------------------------------------------
