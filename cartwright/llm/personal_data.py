@@ -4,7 +4,8 @@ Base spans follow fixed patterns (email, ip, card, phone). The field labels the
 without white space that hold a digit or an at sign, at most ``_LONGEST`` characters of which carry features. Every other word is
 outside all entities and is no node.
 
-Potentials. A carrier's own potential is a softmax over a few discrete features of its shape. Carriers with only white space between
+Potentials. A carrier's own potential is a softmax over a few discrete features of its shape; one that fails a check by itself
+speaks against an entity by ``_FAILED``. Carriers with only white space between
 share a chain potential. Carriers of one document that repeat each other (equal letters and digits), or are similar (equal last
 seven digits, or an equal name before the at sign), share a skip potential; each is linked to the one before it in its
 group, so links grow with the carriers and not with their pairs.
@@ -34,6 +35,7 @@ from pyspark.sql import functions as F
 KINDS = ("email", "ip", "card", "phone")
 _LABELS = 1 + len(KINDS)  # 0: none
 _LONGEST = 200
+_FAILED = 8.0  # log odds for no entity that a failed check of the carrier by itself is worth
 
 # The patterns of the base spans. The look-behinds only skip starts inside a run that was already tried.
 _LOCAL_END = re.compile(r"[A-Za-z0-9._%+-]+\Z")
@@ -255,6 +257,7 @@ class Model:
     def marginals(self, graph: Graph, rounds: int = 10) -> np.ndarray:
         """Label probabilities of all carriers by loopy message passing (damped, log space)."""
         own = np.log(np.maximum(self._soft(self._design(np.array(graph.features)) @ self.weights), 1e-9))
+        own[np.unravel_index(np.array(graph.features), _SIZES)[-1] == 2, 0] += _FAILED
         seen = np.array(graph.seen)
         known = np.flatnonzero(seen >= 1)
         own[known] = -30.0
