@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +27,14 @@ def text_slices(batch: pa.RecordBatch, column: str, limit: int = _CHUNK) -> Iter
         start = stop
 
 
+def give_back() -> None:
+    """Return what this Python worker has freed to the system: a worker serves stage after stage, and its peaks would add up."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finaliser of a 64-bit hash (bijective)."""
     x = x.astype(np.uint64, copy=True)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwright.llm.common import components, mix64, shingle_sets, text_slices
+from cartwright.llm.common import components, give_back, mix64, shingle_sets, text_slices
 from cartwright.session import materialise
 
 _EMPTY_PARTS = 3
@@ -85,6 +85,7 @@ def document_sets(docs: DataFrame, width: int) -> DataFrame:
                     [rows.column("doc"), pa.array(map(len, sets), pa.int64()), pa.array(flat[:, 0]), pa.array(flat[:, 1])],
                     names=["doc", "n", "f1", "f2"],
                 )
+            give_back()
 
     return docs.select("doc", "text").mapInArrow(run, "doc long, n long, f1 long, f2 long")
 
@@ -133,8 +134,10 @@ def candidate_edges(docs: DataFrame, groups: int, width: int, num: int, den: int
                 if held > 1_500_000:
                     yield from emit(np.concatenate(held_sig), np.concatenate(held_doc))
                     held_sig, held_doc, held = [], [], 0
+            give_back()
         if held:
             yield from emit(np.concatenate(held_sig), np.concatenate(held_doc))
+        give_back()
 
     def meet(table: pa.Table) -> pa.Table:
         left = np.frombuffer(b"".join(table.column("left").to_pylist()), np.int64)

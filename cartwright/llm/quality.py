@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwright.llm.common import text_slices
+from cartwright.llm.common import give_back, text_slices
 from cartwright.session import materialise
 
 WIDTH = 1024  # hashed byte pairs
@@ -179,6 +179,7 @@ def score_documents(
                 rows = pa.RecordBatch.from_arrays([batch], names=["text"])
                 parts = [held.value.score(part.column("text")) for part in text_slices(rows, "text")]
                 yield pa.array(np.concatenate(parts or [np.empty(0)]))
+                give_back()
 
         return docs.withColumn("_score", scored("text"))
 
