@@ -1,13 +1,9 @@
-"""Time-to-next-purchase analysis: event derivation, product-limit curves, AFT and concordance."""
+"""Time-to-next-purchase analysis: event derivation, product-limit curves and concordance."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.regression import AFTSurvivalRegression
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -79,36 +75,42 @@ def next_purchase_days(data: DataFrame, group: str = "segment") -> DataFrame:
     return data.join(medians, group, "left").withColumnRenamed("median_T", "predicted_next_purchase_days")
 
 
-def fit_weibull(data: DataFrame, features: list[str]) -> DataFrame:
-    """Weibull accelerated-failure-time medians per customer. Features are scaled inside the fit only for conditioning."""
-    filled = data.fillna(0, subset=features).withColumns({c: F.col(c).cast("double") for c in features})
-    rows = filled.filter(F.col("T") > 0).withColumns({"label": F.col("T").cast("double"), "censor": F.col("E").cast("double")})
-    rows = materialise(rows, "aft")
-    # Times are fitted in units of their mean, which keeps the optimiser's steps in range.
-    unit = rows.agg(F.avg("label")).first()[0]
-    rows = rows.withColumn("label", F.col("label") / unit)
-    vectors = VectorAssembler(inputCols=features, outputCol="_raw")
-    scaler = StandardScaler(inputCol="_raw", outputCol="features", withMean=True).fit(vectors.transform(rows))
-    train = scaler.transform(vectors.transform(rows)).select("label", "censor", "features")
-    model = AFTSurvivalRegression(quantileProbabilities=[0.5], maxIter=100).fit(train)
-    scored = model.transform(scaler.transform(vectors.transform(filled)))
-    keep = [c for c in filled.columns]
-    return scored.select(*keep, (F.col("prediction") * unit).alias("weibull_scale"), (
-        F.col("prediction") * unit * F.lit(float(np.log(2.0)) ** model.scale)
-    ).alias("median_T"))
+def _later_below(t: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Per position, the total ``n`` of earlier positions with a larger ``t``.
+
+    Merge counting, one vectorised pass per block size: a position in a block's right half meets the left half's rows
+    that come after it in time order.
+    """
+    size = len(t)
+    at = np.arange(size)
+    day = np.unique(t, return_inverse=True)[1].astype(np.int64)
+    out = np.zeros(size, dtype=np.int64)
+    for level in range(max(size - 1, 0).bit_length()):
+        block, right = at >> (level + 1), (at >> level) & 1
+        # Of equal times the left half comes first, so that it is not counted as later.
+        order = np.argsort((block * (int(day.max()) + 1) + day) * 2 + right)
+        held = np.where(right[order] == 0, n[order], 0)
+        last = np.searchsorted(block[order], block[order], side="right") - 1
+        seen = np.cumsum(held)
+        out[order] += np.where(right[order] == 1, seen[last] - seen, 0)
+    return out
 
 
 def concordance(data: DataFrame, risk: str = "risk", slices: int | None = None) -> DataFrame:
     """Concordance index: among comparable pairs, how often the higher risk has the shorter time.
 
-    Pairs are never formed. Customers collapse to (risk, time) counts laid out by risk range; each range adds its own
-    counts to the day histogram of all lower ranges with a Fenwick tree over days. A censored time counts as just after
-    an event on the same day. Equal risks count one half. There are up to
-    256 slices; the histograms hold at most slices² x days / 2 rows.
+    Pairs are never formed. Customers collapse to (risk, time) counts laid out by risk range. Pairs within a range are
+    counted by merging; for pairs of two ranges a table of ranges x days holds the customers that leave after each day,
+    summed over the lower ranges by a window per day, so it grows in proportion to the ranges. A censored time counts as
+    just after an event on the same day. Equal risks count one half. Rows without risk, time or event are left out; an
+    empty table has a null index.
     """
     order = (2 * F.col("T") + (1 - F.col("E"))).cast("long")
-    cells = data.select(F.col(risk).cast("double").alias("risk"), order.alias("t"), "E").groupBy("risk", "t").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("E").cast("long").alias("events")
+    cells = (
+        data.select(F.col(risk).cast("double").alias("risk"), order.alias("t"), "E")
+        .filter(F.col("risk").isNotNull() & F.col("t").isNotNull())
+        .groupBy("risk", "t")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("E").cast("long").alias("events"))
     )
     cells = materialise(cells, "risk-cells")
     slices = slices or cells.count() // 100_000 + 1  # a slice stays of one size, their number grows
@@ -119,55 +121,32 @@ def concordance(data: DataFrame, risk: str = "risk", slices: int | None = None)
         .withColumn("part", F.shiftright("_pos", 33)),
         "concordance",
     )
-    per_part = laid.groupBy("part", "t").agg(F.sum("n").alias("n"))
-    below = (
-        per_part.filter(F.col("part") < slices - 1)
-        .withColumn("later", F.explode(F.sequence(F.col("part") + 1, F.lit(slices - 1).cast("long"))))
-        .groupBy("later", "t")
-        .agg(F.sum("n").alias("n"))
-        .select(F.col("later").alias("part"), F.col("t").alias("t"), F.col("n").alias("n"))
-    )
 
-    def count_lower(key: tuple, rows: pd.DataFrame, lower: pd.DataFrame) -> pd.DataFrame:
-        if rows.empty:
-            return pd.DataFrame({"won": pd.Series(dtype="float64")})
+    def within(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["risk", "t"])
-        days = np.union1d(rows["t"], lower["t"])
-        size = len(days)
-        tree = np.zeros(size + 1)
-
-        def add(i: int, n: float) -> None:
-            i += 1
-            while i <= size:
-                tree[i] += n
-                i += i & -i
-
-        def up_to(i: int) -> float:
-            total, i = 0.0, i + 1
-            while i > 0:
-                total += tree[i]
-                i -= i & -i
-            return total
-
-        for i, n in zip(np.searchsorted(days, lower["t"]), lower["n"]):
-            add(int(i), float(n))
-        held, won = float(lower["n"].sum()), 0.0
-        for i, n, events in zip(np.searchsorted(days, rows["t"]), rows["n"], rows["events"]):
-            if events:
-                # Cells of the same risk seen so far have earlier days, so only lower risks count here.
-                won += float(events) * (held - up_to(int(i)))
-            add(int(i), float(n))
-            held += float(n)
-        return pd.DataFrame({"won": [won]})
-
-    won = laid.groupBy("part").cogroup(below.groupBy("part")).applyInPandas(count_lower, "won double")
+        # Cells of the same risk before a cell have earlier days, so only lower risks count here.
+        later = _later_below(rows["t"].to_numpy(np.int64), rows["n"].to_numpy(np.int64))
+        return pd.DataFrame({"won": [int(rows["events"].to_numpy(np.int64) @ later)]})
+
+    inside = laid.groupBy("part").applyInPandas(within, "won long")
+    grid = laid.select("t").distinct().withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)).cast("array<bigint>")))
+    held = laid.groupBy("part", "t").agg(F.sum("n").alias("n"), F.sum("events").alias("events"))
+    after = Window.partitionBy("part").orderBy(F.desc("t")).rowsBetween(Window.unboundedPreceding, -1)
+    lower = Window.partitionBy("t").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    across = (
+        grid.join(held, ["part", "t"], "left")
+        .withColumn("later", F.coalesce(F.sum("n").over(after), F.lit(0)))
+        .withColumn("won", F.col("events") * F.sum("later").over(lower))
+        .select("won")
+    )
+    won = inside.unionAll(across)
     later_same_risk = Window.partitionBy("risk").orderBy(F.desc("t")).rowsBetween(Window.unboundedPreceding, -1)
     tied = laid.withColumn("later", F.coalesce(F.sum("n").over(later_same_risk), F.lit(0)))
     later_days = Window.orderBy(F.desc("t")).rowsBetween(Window.unboundedPreceding, -1)
     per_day = cells.groupBy("t").agg(F.sum("n").alias("n"), F.sum("events").alias("events"))
     pairs = per_day.withColumn("later", F.coalesce(F.sum("n").over(later_days), F.lit(0)))
     count_later = F.sum(F.col("events") * F.col("later")).cast("double")
-    totals = attach_row(won.agg(F.sum("won").alias("concordant")), tied.agg(count_later.alias("tied")))
+    totals = attach_row(won.agg(F.sum("won").cast("double").alias("concordant")), tied.agg(count_later.alias("tied")))
     totals = attach_row(totals, pairs.agg(count_later.alias("comparable")))
     return totals.withColumn(
         "concordance_index",

@@ -303,12 +303,9 @@ def _(spark, d):
     ).path
 
 
-COX = ["frequency", "avg_order_value", "distinct_categories", "purchase_rate"]
-
-
 def _cox(spark, d):
     data = materialise(U.survival_data(scored(spark, d), T.SNAPSHOT), "survival")
-    return data, X.fit_cox(data, COX)
+    return data, X.fit_cox(data, [c for c in U.FEATURES if c in data.columns])
 
 
 @query("cox_coefficients")

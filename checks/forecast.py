@@ -8,6 +8,7 @@ from cartwright.operators.predictive import churn as H
 from cartwright.operators.predictive import clv as V
 from cartwright.operators.predictive import lifetime as E
 from cartwright.operators.predictive import survival as U
+from cartwright.operators.predictive import weibull as W
 from cartwright.session import materialise
 from cartwright.sources import testtables as T
 from checks.reports import scored
@@ -302,8 +303,8 @@ def _(spark, d):
 @query("weibull_aft")
 def _(spark, d):
     data = materialise(survival(spark, d), "survival")
-    out = U.fit_weibull(data, ["frequency", "avg_order_value", "distinct_categories", "purchase_rate"])
-    return out.select("customer_id", "T", "E", "weibull_scale", "median_T")
+    model = W.fit_weibull(data, [c for c in U.FEATURES if c in data.columns])
+    return model.score(data).select("customer_id", "T", "E", "weibull_scale", "median_T")
 
 
 CHURN = """SELECT customer_id, (recency > 30)::INT AS churn,

@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from cartwright.operators.predictive import churn, clv, cluster, cox, lifetime, recommend, survival
+from cartwright.operators.predictive import churn, clv, cluster, cox, lifetime, recommend, survival, weibull
 from cartwright.session import materialise
 
 
@@ -49,6 +49,89 @@ def test_cox_is_at_the_penalised_efron_optimum(spark):
     assert (s.groupby("customer_id")["survival"].diff().dropna() <= 1e-12).all()
 
 
+@pytest.mark.parametrize("k", [1, 256, 257, 5000, 200_000])
+def test_tie_nodes_stand_for_all_ties(k):
+    share, weight = cox.tie_nodes(k)
+    every = np.arange(k) / k
+    assert len(share) <= min(k, 256) + 20 * max(k, 1).bit_length()
+    for at_risk in (1.0, 1.001, 10.0, 1e6):  # in units of the events' sum
+        for term in (
+            lambda s: np.log(at_risk + 1 - s), lambda s: 1 / (at_risk - s), lambda s: s / (at_risk - s), lambda s: (s / (at_risk - s)) ** 2
+        ):
+            assert weight @ term(share) == pytest.approx(term(every).sum(), rel=1e-12, abs=1e-12)
+
+
+def test_cox_day_with_thousands_of_events(spark):
+    pdf = durations(900)
+    pdf["T"], pdf["E"] = np.where(np.arange(900) < 600, 5, pdf["T"]), np.where(np.arange(900) < 600, 1, pdf["E"])
+    model = cox.fit_cox(spark.createDataFrame(pdf), ["x1", "x2"], penalizer=0.1)
+    x = pdf[["x1", "x2"]].to_numpy()
+    x = (x - x.mean(axis=0)) / x.std(axis=0, ddof=1)
+    beta = model.coef * pdf[["x1", "x2"]].std().to_numpy()
+    best = efron(beta, x, pdf["T"].to_numpy(), pdf["E"].to_numpy(), 0.1)
+    assert model.log_likelihood == pytest.approx(best, rel=1e-10)
+
+
+def weibull_objective(params, x, t, e, penalty):
+    log_rho = params[-1]
+    u = math.exp(log_rho) * (np.log(t) - params[0] - x @ params[1:-1])
+    return (e * (log_rho - np.log(t) + u) - np.exp(u)).mean() - penalty / 2 * (params[1:-1] ** 2).sum()
+
+
+def test_weibull_is_at_the_penalised_optimum(spark):
+    rng = np.random.default_rng(8)
+    n = 700
+    x = rng.normal(size=(n, 2)) * [1.0, 40.0] + [3.0, -10.0]
+    t = np.floor(np.exp(2 + 0.5 * x[:, 0] - 0.01 * x[:, 1]) * rng.weibull(1.6, n))  # some are 0
+    pdf = pd.DataFrame({"T": t.astype(int), "E": (rng.random(n) < 0.7).astype(int), "x1": x[:, 0], "x2": x[:, 1], "flat": 7.0})
+    assert (pdf["T"] == 0).any()
+    features = ["x1", "x2", "flat"]
+    df = spark.createDataFrame(pdf)
+    model = weibull.fit_weibull(df, features, penalizer=0.05)
+    assert np.abs(model.gradient).max() < 1e-8
+    z = (x - x.mean(axis=0)) / x.std(axis=0, ddof=1)
+    std = x.std(axis=0, ddof=1)
+    at = np.concatenate([[model.intercept + model.coef[:2] @ x.mean(axis=0) + 7 * model.coef[2]], model.coef[:2] * std, [math.log(model.rho)]])
+    args = (z, np.maximum(pdf["T"].to_numpy(float), 0.5), pdf["E"].to_numpy(), 0.05)
+    best = weibull_objective(at, *args)
+    assert model.objective == pytest.approx(best, rel=1e-10) and model.coef[2] == pytest.approx(0, abs=1e-12)
+    for i in range(4):
+        for h in (1e-5, -1e-5):
+            assert weibull_objective(at + h * np.eye(4)[i], *args) < best
+    loose = weibull.fit_weibull(df, features, penalizer=0.0)
+    assert loose.coef[0] == pytest.approx(0.5, abs=0.15) and loose.rho == pytest.approx(1.4, abs=0.4)
+    scored = model.score(df).toPandas()
+    assert len(scored) == n and np.allclose(scored.median_T / scored.weibull_scale, math.log(2) ** (1 / model.rho))
+    again = weibull.fit_weibull(df.repartition(5), features, penalizer=0.05)
+    assert np.allclose(again.coef, model.coef, rtol=1e-9)
+
+
+def test_weibull_odd_rows(spark):
+    kind = "T int, E int, x double"
+    rows = [(3, 1, 1.0), (0, 1, None), (9, 0, 2.0), (None, 1, 1.0), (4, None, 1.0), (5, 1, 1e6)]
+    model = weibull.fit_weibull(spark.createDataFrame(rows, kind), ["x"])
+    assert model.score(spark.createDataFrame(rows, kind)).filter("median_T > 0").count() == 6
+    for bad in ([], [(3, 0, 1.0)], [(None, 1, 1.0)]):
+        with pytest.raises(ValueError):
+            weibull.fit_weibull(spark.createDataFrame(bad, kind), ["x"])
+
+
+def test_concordance_odd_rows(spark):
+    kind = "T int, E int, risk double"
+    empty = survival.concordance(spark.createDataFrame([], kind)).first()
+    assert empty["concordance_index"] is None
+    rows = [(1, 1, 2.0), (2, 1, 1.0), (3, None, 1.0), (None, 1, 9.0), (4, 1, None)]
+    assert survival.concordance(spark.createDataFrame(rows, kind), slices=3).first()["comparable"] == 1
+
+
+def test_merge_counting():
+    rng = np.random.default_rng(0)
+    for size in (0, 1, 2, 7, 300):
+        t, n = rng.integers(0, 20, size), rng.integers(1, 5, size)
+        want = [int(n[:i][t[:i] > t[i]].sum()) for i in range(size)]
+        assert survival._later_below(t, n).tolist() == want
+
+
 def test_concordance_against_pairs(spark):
     rng = np.random.default_rng(3)
     pdf = durations(150, seed=5)
