@@ -21,9 +21,23 @@ SCORE_DIGITS = 7  # sums of doubles depend on row order in their last bits; rank
 
 
 def rounded_score(score: Column) -> Column:
-    """Half-up rounding in double arithmetic; ``round`` would go through decimals on every candidate row."""
-    unit = float(10**SCORE_DIGITS)
-    return F.floor(score * unit + 0.5) / unit
+    """A sum of positive products at seven significant digits, half up in double arithmetic.
+
+    Small scores keep their order; ``round`` would tie them all at 0, and go through decimals on every candidate row.
+    """
+    unit = F.pow(F.lit(10.0), SCORE_DIGITS - 1 - F.floor(F.log10(F.abs(score))))
+    return F.when(score == 0, score).otherwise(F.floor(score * unit + 0.5) / unit)
+
+
+def _significant(score: np.ndarray) -> np.ndarray:
+    """The same on an array; rows that are zero or not finite stay."""
+    out = score.copy()
+    some = np.isfinite(score) & (score != 0)
+    shift = (SCORE_DIGITS - 1 - np.floor(np.log10(np.abs(score[some])))).astype(int)
+    powers, at = np.unique(shift, return_inverse=True)
+    unit = np.array([10.0 ** int(k) for k in powers])[at] if len(powers) else np.ones(0)
+    out[some] = np.floor(score[some] * unit + 0.5) / unit
+    return out
 
 
 def block_count(ids: DataFrame) -> int:
@@ -55,7 +69,9 @@ def best_partners(
 
     ``left`` and ``right`` have k, id, w; ``addends`` has l, r, v (minus infinity rules a pair out). With ``per_left`` each
     block pair returns the best ``n`` of every left id, an id never being its own partner where both sides hold the
-    ``same_ids``; otherwise the best ``n`` pairs with l < r. Ties go to the smaller ids. The caller ranks the candidates of all block pairs.
+    ``same_ids``; otherwise the best ``n`` pairs with l < r. Scores per left id are rounded before ranking: to significant
+    digits if all products are positive, to seven decimals if their signs may cancel (``positive_only`` off); those of pairs
+    are counts and stay. Ties go to the smaller ids. The caller ranks the candidates of all block pairs.
     """
     lblocks, rblocks = block_count(left.select("id")), block_count(right.select("id"))
     every = F.explode(F.sequence(F.lit(0), F.lit(rblocks - 1)))
@@ -106,7 +122,10 @@ def best_partners(
         orders = [np.argsort(x, kind="stable") for x in ids]
         a, b = ids[0][orders[0]], ids[1][orders[1]]
         exact = acc[np.ix_(orders[0], orders[1])]
-        score = np.floor(exact * digits + 0.5) / digits
+        if not per_left:
+            score = exact
+        else:
+            score = _significant(exact) if positive_only else np.floor(exact * digits + 0.5) / digits
         usable = np.isfinite(score)
         if positive_only:  # judged before rounding: a small score is still one
             usable &= exact > 0

@@ -79,26 +79,66 @@ def bootstrap_sums(
     )
 
 
+def _cell_weights(row_hash: np.ndarray, counts: np.ndarray, replicates: int, seed: int) -> np.ndarray:
+    """Poisson(count) weights, cells x replicates, decided by (seed, replicate, cell) alone."""
+    out = np.empty((len(counts), replicates))
+    single = counts == 1
+    out[single] = poisson_weights(row_hash[single], replicates, seed)
+    for at in np.flatnonzero(~single):
+        out[at] = np.random.default_rng([seed, int(row_hash[at])]).poisson(counts[at], replicates)
+    return out
+
+
 def bootstrap_mean_ci(
     df: DataFrame,
     groups: Sequence[str],
     value: str,
-    row_key: str,
     replicates: int = 2000,
     level: float = 0.95,
     seed: int = 42,
 ) -> DataFrame:
-    """Percentile interval of the mean per group; the percentile sees one value per replicate."""
+    """Percentile interval of the mean per group; the percentile sees one value per replicate.
+
+    Rows of equal value fold to one cell first: the sum of n Poisson(1) weights is one Poisson(n) draw, so the work is the
+    number of distinct values per group times the replicates, and a value that a third of all rows share costs one draw a
+    replicate. Draws depend on (seed, replicate, group, value), not on partitioning or row keys. Nulls and not-a-number
+    values are left out; an empty table gives no rows. With an expected total weight of only a few rows a replicate can
+    have weight 0 and is left out.
+    """
+    names = list(groups)
     tail = (1 - level) / 2
-    sums = bootstrap_sums(
-        df.filter(F.col(value).isNotNull()).select(*groups, value, row_key),
-        groups,
-        row_key,
-        {"wx": F.col(value)},
-        replicates,
-        seed,
+    cells = (
+        df.select(*names, F.col(value).cast("double").alias("_x"))
+        .filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
+        .groupBy(*names, "_x")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_h", F.xxhash64(*names, "_x"))
+    )
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        totals: dict[tuple, np.ndarray] = {}
+        for pdf in batches:
+            for key, part in pdf.groupby(names, dropna=False, sort=False) if names else [((), pdf)]:
+                acc = totals.setdefault(tuple(None if pd.isna(k) else k for k in key), np.zeros((2, replicates)))
+                hashes, counts = part["_h"].to_numpy(np.int64).view(np.uint64), part["_n"].to_numpy(np.int64)
+                values = np.stack([np.ones(len(part)), part["_x"].to_numpy(float)])
+                for at in range(0, len(part), _SLICE):
+                    weights = _cell_weights(hashes[at : at + _SLICE], counts[at : at + _SLICE], replicates, seed)
+                    acc += values[:, at : at + _SLICE] @ weights
+        for key, acc in totals.items():
+            out = pd.DataFrame({g: [k] * replicates for g, k in zip(names, key)})
+            out["replicate"], out["w"], out["wx"] = np.arange(replicates), acc[0], acc[1]
+            yield out
+
+    schema = T.StructType(
+        [cells.schema[g] for g in names]
+        + [T.StructField("replicate", T.IntegerType())]
+        + [T.StructField(n, T.DoubleType()) for n in ("w", "wx")]
+    )
+    sums = (
+        cells.mapInPandas(fold, schema).groupBy(*names, "replicate").agg(F.sum("w").alias("w"), F.sum("wx").alias("wx")).filter("w > 0")
     )
-    return sums.groupBy(*groups).agg(
+    return sums.groupBy(*names).agg(
         F.percentile(F.col("wx") / F.col("w"), F.lit(tail)).alias("ci_lower"),
         F.percentile(F.col("wx") / F.col("w"), F.lit(1 - tail)).alias("ci_upper"),
     )

@@ -86,7 +86,7 @@ def ab_results(
     # The configured experiments are a short list, and the semi join drops other sessions before the shuffle.
     cont_sessions = sessions.join(cont_names, "experiment_name", "left_semi")
     cis = bootstrap_mean_ci(
-        cont_sessions, ["experiment_name", "variant"], "revenue", "session_id", replicates, seed=seed
+        cont_sessions, ["experiment_name", "variant"], "revenue", replicates, seed=seed
     )
     per_arm = cis.groupBy("experiment_name").agg(
         *[

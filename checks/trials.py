@@ -254,7 +254,7 @@ def _(spark, d):
 
 @query("ab_bootstrap_ci")
 def _(spark, d):
-    return B.bootstrap_mean_ci(sessions(spark, d), ["experiment_name", "variant"], "revenue", "session_id", 500)
+    return B.bootstrap_mean_ci(sessions(spark, d), ["experiment_name", "variant"], "revenue")
 
 
 @query("ab_bayes")

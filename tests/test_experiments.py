@@ -112,12 +112,29 @@ def test_bootstrap_ignores_partitioning_and_covers(spark):
     pdf = pd.DataFrame({"g": np.repeat(np.arange(60), 100), "x": rng.normal(50, 10, 6000)})
     pdf["id"] = np.arange(len(pdf))
     df = spark.createDataFrame(pdf)
-    a = resample.bootstrap_mean_ci(df.repartition(3), ["g"], "x", "id", 500).orderBy("g").toPandas()
-    b = resample.bootstrap_mean_ci(df.repartition(11, "x"), ["g"], "x", "id", 500).orderBy("g").toPandas()
+    a = resample.bootstrap_mean_ci(df.repartition(3), ["g"], "x", 500).orderBy("g").toPandas()
+    b = resample.bootstrap_mean_ci(df.repartition(11, "x"), ["g"], "x", 500).orderBy("g").toPandas()
     assert np.allclose(a, b)
     assert ((a.ci_lower < 50) & (50 < a.ci_upper)).mean() >= 0.85
 
 
+def test_bootstrap_on_folded_values_has_the_bootstrap_variance(spark):
+    """Two thirds of the rows share the value 0, the others have 40 values; null, not-a-number and a group of one row."""
+    rng = np.random.default_rng(4)
+    n = 9000
+    x = np.where(rng.random(n) < 2 / 3, 0.0, rng.integers(1, 41, n).astype(float))
+    rows = [("a", float(v)) for v in x] + [("a", None), ("a", float("nan")), ("b", 7.0), (None, 3.0), (None, 3.0)]
+    got = {r["g"]: r for r in resample.bootstrap_mean_ci(spark.createDataFrame(rows, "g string, x double"), ["g"], "x", 4000).collect()}
+    se = x.std() / math.sqrt(n)
+    low, high = got["a"]["ci_lower"], got["a"]["ci_upper"]
+    assert (high - low) / (2 * 1.959964) == pytest.approx(se, rel=0.05)
+    assert (high + low) / 2 == pytest.approx(x.mean(), abs=0.15 * se)
+    assert set(got) == {"a", "b", None} and got["b"]["ci_lower"] == got["b"]["ci_upper"] == 7.0 and got[None]["ci_upper"] == 3.0
+    whole = resample.bootstrap_mean_ci(spark.createDataFrame(rows, "g string, x double"), [], "x", 200)
+    assert whole.count() == 1
+    assert resample.bootstrap_mean_ci(spark.createDataFrame([], "g string, x double"), ["g"], "x", 10).count() == 0
+
+
 def test_bayes_separates_and_repeats(spark):
     counts = spark.createDataFrame([("e", 5000, 100, 5000, 200)], "experiment_name string, n_c long, conv_c long, n_t long, conv_t long")
     a = resample.bayes_two_arms(counts, 20_000).first()

@@ -130,6 +130,23 @@ def test_ranking_quality(spark):
     assert got["ndcg_at_k"] == pytest.approx((1 / np.log2(3)) / (1 + 1 / np.log2(3)) / 3)
 
 
+def test_small_cosines_keep_their_order(spark):
+    """Cosines near 1e-9 that grow with the id: the order of scores is not that of ids, at every limit."""
+    rows = [(f"u{i}", f"i{i}", 30_000.0) for i in range(6)] + [("all", f"i{i}", 1.0 + i / 10) for i in range(6)]
+    cells = spark.createDataFrame(rows, "user string, item string, w double")
+    pdf = cells.toPandas().pivot(index="user", columns="item", values="w").fillna(0)
+    unit = pdf.to_numpy() / np.linalg.norm(pdf.to_numpy(), axis=0)
+    cos = unit.T @ unit
+    np.fill_diagonal(cos, -1)
+    assert 1e-10 < cos[0].max() < 3e-9
+    for limit in (1, 1000):
+        got = R.similar_items(R.item_similarity(cells, light_limit=limit), n=3).toPandas()
+        for i, part in got.groupby("item"):
+            best = [pdf.columns[j] for j in np.argsort(-cos[pdf.columns.get_loc(i)])[:3]]
+            assert part.sort_values("rank")["other"].tolist() == best
+            assert part["similarity"].to_numpy() == pytest.approx([cos[pdf.columns.get_loc(i), pdf.columns.get_loc(o)] for o in part["other"]], rel=1e-6)
+
+
 def test_small_cosines_are_the_same_at_every_limit(spark):
     rows = [(f"u{i}", f"i{i}", 30_000.0) for i in range(4)] + [("all", f"i{i}", 1.0) for i in range(4)]  # cosines near 1e-9
     cells = spark.createDataFrame(rows, "user string, item string, w double")

@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from cartwright.operators.predictive import churn, clv, cluster, cox, lifetime, recommend, survival, weibull
+from cartwright.operators.predictive import churn, clv, cluster, cox, lifetime, models, recommend, survival, weibull
 from cartwright.session import materialise
 
 
@@ -235,6 +235,10 @@ def test_churn_model_end_to_end(spark, tmp_path):
     assert importance["feature"] in ("recency", "frequency", "recency_frequency_ratio")
     contributions = churn.sampled_shapley(model, df, "customer_id", permutations=2).collect()
     assert {r["feature"] for r in contributions} == set(model.features)
+    models.save_model(spark, model, str(tmp_path / "stored"))
+    loaded = models.load_model(spark, str(tmp_path / "stored"), churn.ChurnModel)
+    assert loaded.features == model.features and loaded.metrics == model.metrics
+    assert sorted(map(tuple, loaded.score(df).collect())) == sorted(map(tuple, scored.collect()))
     model.save(str(tmp_path / "churn"))
     from pyspark.ml import PipelineModel
 
@@ -314,3 +318,32 @@ def test_prediction_from_fits_odd_rows(spark):
     assert len(got) == 4 and by[1]["prob_alive"] == 1.0 and by[1]["expected_value"] is None and by[2]["clv"] > 0
     assert by[3]["expected_transactions"] is None
     assert lifetime.predict_from_fits(history.limit(0), *fits).count() == 0
+
+
+def test_models_are_loaded_as_saved(spark, tmp_path):
+    pdf = durations()
+    df = spark.createDataFrame(pdf)
+    hazards, times = cox.fit_cox(df, ["x1", "x2"]), weibull.fit_weibull(df, ["x1", "x2"])
+    spend = clv.Fit({"p": 2.0 / 3.0, "q": 0.1, "v": 1e-300}, -12.5, 7)
+    cells = spark.createDataFrame([("a", 1, 1.0), ("a", 2, 2.0), ("b", 2, 1.0), ("b", 3, 4.0), ("b", 1, 2.0)], "user string, item long, w double")
+    path = str(tmp_path)
+    models.save_model(spark, spend, f"{path}/cox")  # written over by the next
+    for name, model in (("cox", hazards), ("weibull", times), ("spend", spend)):
+        models.save_model(spark, model, f"{path}/{name}")
+    assert models.load_model(spark, f"{path}/spend", clv.Fit) == spend
+    again = models.load_model(spark, f"{path}/cox", cox.CoxModel)
+    assert again.baseline == hazards.baseline and (again.coef == hazards.coef).all() and (again.se == hazards.se).all()
+    key = ["customer_id", "risk", "median_T"]
+    assert again.with_risk(df).select(key).exceptAll(hazards.with_risk(df).select(key)).isEmpty()
+    aft = models.load_model(spark, f"{path}/weibull")
+    assert aft.score(df).exceptAll(times.score(df)).isEmpty()
+    for limit in (1, 2, 1000):
+        similarity = recommend.item_similarity(cells, limit)
+        models.save_model(spark, similarity, f"{path}/items-{limit}")
+        loaded = models.load_model(spark, f"{path}/items-{limit}", recommend.Similarity)
+        want = sorted(map(tuple, recommend.score_users(cells, similarity, exclude_purchased=False).collect()))
+        assert sorted(map(tuple, recommend.score_users(cells, loaded, exclude_purchased=False).collect())) == want
+    with pytest.raises(TypeError):
+        models.load_model(spark, f"{path}/cox", clv.Fit)
+    with pytest.raises(TypeError):
+        models.save_model(spark, {"a": 1}, f"{path}/other")

@@ -99,3 +99,24 @@ def test_missing_checkpoint_folder_is_refused_on_a_cluster(spark, monkeypatch):
     )
     with pytest.raises(ValueError):
         scratch_root(fake)
+
+
+def test_report_views_answer_sql(spark):
+    from cartwright.operators.rfm import rfm_scored
+    from cartwright.plans import report_views
+
+    customers, lines = testtables.customers(spark, SF), testtables.transactions(spark, SF)
+    rfm = materialise(rfm_scored(testtables.transactions(spark, SF, with_category=True), testtables.SNAPSHOT), "scored")
+    names = report_views.register_revenue_views(customers, lines, rfm)
+    assert names == ["vw_segment_revenue", "vw_monthly_revenue", "vw_segment_summary", "vw_revenue_by_channel", "vw_daily_revenue"]
+    assert spark.sql("SELECT sum(n_customers) FROM vw_segment_summary").first()[0] == rfm.count()
+    assert spark.sql("SELECT sum(n_customers) FROM vw_revenue_by_channel").first()[0] == rfm.count()
+    assert spark.sql("SELECT sum(n_orders) FROM vw_daily_revenue").first()[0] == lines.count()
+    report_views.register_revenue_views(customers.limit(0), lines.limit(0), rfm.limit(0))
+    assert all(spark.table(name).count() == 0 for name in names)
+    kind = """experiment_name string, description string, metric_type string, n_control long, n_treatment long, control_mean double,
+      treatment_mean double, relative_lift double, p_value_ttest double, p_value_adjusted double, observed_power double,
+      is_significant boolean, recommendation string"""
+    row = ("e", "d", "proportion", 5, 6, 0.1234567, 0.2, 0.61999, 0.01, 0.02, 0.8, True, "ship")
+    assert report_views.register_trial_view(spark.createDataFrame([row], kind)) == "vw_ab_dashboard"
+    assert spark.sql("SELECT control_mean, p_value_fdr FROM vw_ab_dashboard").first() == (0.123457, 0.02)
