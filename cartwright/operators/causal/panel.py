@@ -60,26 +60,29 @@ class SyntheticControl:
     weights: DataFrame  # unit, weight
     path: DataFrame  # time, actual, synthetic
     pre_period_rmse: float
+    gap: float = 0.0  # the squared pre-period error is at most this far above the optimum
 
 
-def _simplex_weights(atoms: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Least squares over the simplex for a handful of columns: accelerated projected gradient."""
-    gram, lin = atoms.T @ atoms, atoms.T @ target
-    step = 1.0 / max(np.linalg.eigvalsh(gram)[-1], 1e-12)
-    w = z = np.full(atoms.shape[1], 1.0 / atoms.shape[1])
-    momentum = 1.0
-    for _ in range(20_000):
-        v = z - step * (gram @ z - lin)
-        u = np.sort(v)[::-1]
-        css = (np.cumsum(u) - 1) / np.arange(1, len(u) + 1)
-        new = np.maximum(v - css[np.nonzero(u > css)[0][-1]], 0)
-        nxt = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
-        z = new + (momentum - 1) / nxt * (new - w)
-        done = np.abs(new - w).max() < 1e-13
-        w, momentum = new, nxt
-        if done:
-            break
-    return w
+def _nearest_mixture(points: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Kept columns and their weights: the convex mixture of smallest norm, from a feasible start (a column may have weight 0).
+
+    The affine optimum of the kept columns is taken when all its weights are positive; otherwise the step towards it ends
+    where the first weight reaches zero and that column leaves. The norm never grows, so no set of columns comes back.
+    """
+    kept = np.arange(points.shape[1])
+    while True:
+        base = points[:, kept[-1]]
+        part = np.linalg.lstsq(points[:, kept[:-1]] - base[:, None], -base, rcond=None)[0]
+        goal = np.append(part, 1 - part.sum())
+        if (goal > 1e-12).all():
+            return kept, goal
+        falling = goal <= 1e-12
+        ratios = np.full(len(kept), np.inf)
+        ratios[falling] = weights[falling] / np.maximum(weights[falling] - goal[falling], 1e-300)
+        weights = weights + min(ratios.min(), 1.0) * (goal - weights)
+        stay = weights > 1e-12
+        stay[np.argmin(ratios)] = False
+        kept, weights = kept[stay], weights[stay] / weights[stay].sum()
 
 
 def synthetic_control(
@@ -89,15 +92,18 @@ def synthetic_control(
     time: str,
     outcome: str,
     pre_period: tuple | None = None,
-    tolerance: float = 1e-6,
-    max_atoms: int = 200,
+    tolerance: float = 1e-9,
+    max_steps: int = 10_000,
 ) -> SyntheticControl:
     """Convex combination of control units closest to the treated unit before the intervention.
 
-    Conditional gradient over the donors: a job scores every donor against the current residual and returns the best
-    one, then the weights of the donors picked so far are re-optimised. The driver holds the calendar-sized paths of the
-    picked donors only, whatever the size of the donor pool. It stops when the duality gap shows the optimum. Donors
-    lacking a pre-period value are left out.
+    The nearest point of the donors' convex hull: a job scores every donor against the current residual and returns the best
+    one, then the weights of the donors held are optimised exactly and those that fall to zero leave. At most one donor more
+    than there are periods is held, so the driver has calendar-sized paths of few donors, whatever the size of the pool.
+
+    It ends when the duality gap, which bounds how far the squared error is above the optimum, is at most ``tolerance`` times
+    the squared size of the treated path, and raises when it does not get there. Donors lacking a pre-period value are left
+    out, donors with equal paths count as the one of smallest id. Raises without a treated value or a complete donor.
     """
     before = panel if pre_period is None else panel.filter(F.col(time).between(*pre_period))
     rows = before.filter(F.col(outcome).isNotNull()).groupBy(unit, time).agg(F.avg(outcome).alias("v"))
@@ -120,20 +126,26 @@ def synthetic_control(
         top = donors.select(F.struct(score.alias("s"), F.col(unit).alias("u"), "path").alias("d")).agg(F.min("d").alias("d"))
         return top.first()["d"]
 
-    names, atoms, w = [], np.empty((len(times), 0)), np.empty(0)
-    current = np.zeros(len(times))
-    for _ in range(max_atoms):
-        residual = current - target if names else -target
+    if not times:
+        raise ValueError("the treated unit has no value in the pre-period")
+    names, points, w = [], np.empty((len(times), 0)), np.empty(0)
+    residual, gap = -target, float("inf")
+    for _ in range(max_steps):
         pick = best(residual)
         if pick is None:
             raise ValueError("no donor covers the pre-period")
-        gap = float(residual @ (current - np.array(pick["path"]))) if names else float("inf")
+        point = np.array(pick["path"]) - target
+        if names:
+            gap = float(residual @ (residual - point))
         if gap <= tolerance * max(1.0, float(target @ target)) or pick["u"] in names:
             break
-        names.append(pick["u"])
-        atoms = np.column_stack([atoms, np.array(pick["path"])])
-        w = _simplex_weights(atoms, target)
-        current = atoms @ w
+        names, points = [*names, pick["u"]], np.column_stack([points, point])
+        kept, w = _nearest_mixture(points, np.append(w, 0.0 if len(w) else 1.0))
+        names, points = [names[i] for i in kept], points[:, kept]
+        residual = points @ w
+    if gap > tolerance * max(1.0, float(target @ target)):
+        raise ValueError(f"the duality gap stays at {gap:.1e}")
+    current = target + residual
     spark = panel.sparkSession
     kind = panel.schema[unit].dataType.simpleString()
     weights = spark.createDataFrame([(n, float(x)) for n, x in zip(names, w) if x > 1e-9], f"{unit} {kind}, weight double")
@@ -141,7 +153,7 @@ def synthetic_control(
     blended = panel.join(F.broadcast(weights), unit).groupBy(time).agg(F.sum(F.col("weight") * F.col(outcome)).alias("synthetic"))
     actual = panel.filter(F.col(unit) == F.lit(treated_unit)).groupBy(time).agg(F.avg(outcome).alias("actual"))
     rmse = float(np.sqrt(np.mean((target - current) ** 2)))
-    return SyntheticControl(weights, actual.join(blended, time), rmse)
+    return SyntheticControl(weights, actual.join(blended, time), rmse, gap)
 
 
 def top_contributors(weights: DataFrame, unit: str, n: int = 5) -> DataFrame:

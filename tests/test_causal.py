@@ -156,6 +156,37 @@ def test_difference_in_differences(spark):
     assert got["coef_treatment"] == 0 and got["coef_period"] == pytest.approx(2) and got["intercept"] == 100
 
 
+def test_synthetic_control_reaches_the_optimum(spark):
+    """More donors than periods, some alike, a treated path outside their hull: no exchange of weight lowers the error."""
+    rng = np.random.default_rng(5)
+    paths = np.vstack([rng.normal(50, 10, (60, 8)), rng.normal(50, 10, (1, 8)).repeat(5, axis=0)])
+    mine = rng.normal(62, 6, 8)
+    rows = [(f"u{i:02}", t, float(v)) for i, p in enumerate(paths) for t, v in enumerate(p)] + [("x", t, float(v)) for t, v in enumerate(mine)]
+    rows += [("short", 0, 1.0), ("none", 1, None), (None, 2, 3.0)]
+    fit = panel.synthetic_control(spark.createDataFrame(rows, "unit string, t int, y double"), "x", "unit", "t", "y", tolerance=1e-12)
+    w = np.zeros(len(paths))
+    for r in fit.weights.collect():
+        w[int(r["unit"][1:])] = r["weight"]
+    assert w.sum() == pytest.approx(1) and (w >= 0).all() and 1 < (w > 0).sum() <= 9
+    slope = paths @ (w @ paths - mine)
+    assert slope[w > 0].max() - slope.min() < 1e-6 and fit.gap < 1e-7
+    assert fit.pre_period_rmse == pytest.approx(np.sqrt(np.mean((w @ paths - mine) ** 2)))
+    with pytest.raises(ValueError):
+        panel.synthetic_control(spark.createDataFrame(rows, "unit string, t int, y double"), "nobody", "unit", "t", "y")
+    with pytest.raises(ValueError):
+        panel.synthetic_control(spark.createDataFrame(rows[-13:], "unit string, t int, y double"), "x", "unit", "t", "y", (100, 200))
+
+
+def test_nearest_mixture_of_random_hulls():
+    rng = np.random.default_rng(1)
+    for _ in range(200):
+        points = rng.normal(0.7, 1, (rng.integers(1, 6), rng.integers(1, 9)))
+        kept, w = panel._nearest_mixture(points, np.full(points.shape[1], 1 / points.shape[1]))
+        x = points[:, kept] @ w
+        assert w.sum() == pytest.approx(1) and (w > 0).all()
+        assert (points[:, kept].T @ x == pytest.approx(x @ x, abs=1e-9))
+
+
 def test_synthetic_control_finds_the_mixture(spark):
     rng = np.random.default_rng(0)
     paths = rng.normal(100, 10, (12, 20)).cumsum(axis=1)
