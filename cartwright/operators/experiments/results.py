@@ -67,6 +67,17 @@ def proportion_results(moments: DataFrame) -> DataFrame:
     )
 
 
+def effect_sizes(sessions: DataFrame, config: DataFrame) -> DataFrame:
+    """Per configured experiment its kind and standardised effect (h of proportions, d of means), for the power curves."""
+    kinds = config.select("experiment_name", metric_type(F.col("metric")).alias("metric_type"))
+    moments = arm_moments(sessions).join(kinds, "experiment_name")
+    is_prop, unknown = F.col("metric_type") == "proportion", F.lit(None).cast("double")
+    columns = ["experiment_name", "metric_type", "n_control"]
+    prop = proportion_results(moments.filter(is_prop)).select(*columns, "cohens_h", unknown.alias("cohens_d"))
+    means = continuous_tests(moments.filter(~is_prop)).withColumn("metric_type", F.lit("continuous"))
+    return prop.unionByName(means.select(*columns, unknown.alias("cohens_h"), "cohens_d"))
+
+
 def ab_results(
     sessions: DataFrame, config: DataFrame, replicates: int = 2000, draws: int = 50_000, seed: int = 42
 ) -> DataFrame:

@@ -240,15 +240,34 @@ def _(spark, d):
     return E.ab_dashboard(E.ab_results(sessions(spark, d), T.experiment_config(spark)))
 
 
+@query(
+    "ab_effect_sizes",
+    sql(
+        """SELECT experiment_name, kind AS metric_type, nc AS n_control, round(CASE WHEN kind = 'proportion'
+          THEN 2 * asin(sqrt(pt)) - 2 * asin(sqrt(pc)) ELSE (mt - mc) / sqrt((vc + vt) / 2) END, 8) AS effect FROM (
+        SELECT *, CASE WHEN experiment_name IN ('free_shipping_threshold', 'product_recommendation_algo') THEN 'continuous'
+            ELSE 'proportion' END AS kind FROM (SELECT experiment_name, count(*) FILTER (variant = 'control') AS nc,
+          avg(converted::INT) FILTER (variant = 'control') AS pc, avg(converted::INT) FILTER (variant = 'treatment') AS pt,
+          avg(revenue) FILTER (variant = 'control') AS mc, avg(revenue) FILTER (variant = 'treatment') AS mt,
+          var_pop(revenue) FILTER (variant = 'control') AS vc, var_pop(revenue) FILTER (variant = 'treatment') AS vt
+          FROM ses GROUP BY 1))""",
+        "ses",
+    ),
+)
+def _(spark, d):
+    r = E.effect_sizes(sessions(spark, d), T.experiment_config(spark))
+    return r.select("experiment_name", "metric_type", "n_control", F.round(F.coalesce("cohens_h", "cohens_d"), 8).alias("effect"))
+
+
 @query("ab_power_curves")
 def _(spark, d):
-    r = E.proportion_results(arm_moments(sessions(spark, d))).withColumn("cohens_d", F.lit(None).cast("double"))
+    r = E.effect_sizes(sessions(spark, d), T.experiment_config(spark))
     return P.power_curves(r)
 
 
 @query("ab_required_n_curve")
 def _(spark, d):
-    r = E.proportion_results(arm_moments(sessions(spark, d))).withColumn("cohens_d", F.lit(None).cast("double"))
+    r = E.effect_sizes(sessions(spark, d), T.experiment_config(spark))
     return P.required_n_curve(r)
 
 
