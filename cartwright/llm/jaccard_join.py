@@ -131,7 +131,7 @@ def candidate_edges(docs: DataFrame, groups: int, width: int, num: int, den: int
                         held_sig.append(sig)
                         held_doc.append(np.full(len(sig), doc))
                         held += len(sig)
-                if held > 1_500_000:
+                if held > 400_000:
                     yield from emit(np.concatenate(held_sig), np.concatenate(held_doc))
                     held_sig, held_doc, held = [], [], 0
             give_back()
