@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from cartwright.session import scratch_path
+from cartwright.sources import keyed
 
 
 def to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
@@ -21,12 +21,14 @@ def to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append"
     query.awaitTermination()
 
 
-def upsert(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Update-mode result kept as versions ``path/batch=N`` of changed rows; readers take the last version per key."""
+def upsert(stream: DataFrame, path: str, checkpoint: str, keys: list[str], buckets: int = 8) -> None:
+    """Update-mode result merged by key into the table at ``path`` (see :mod:`cartwright.sources.keyed`), one version a micro-batch.
+
+    A batch that is run again after a failure finds its version there or writes it anew.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # Writing a batch again after a failure replaces the same folder.
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        keyed.merge(batch, path, keys, batch_id, buckets)
 
     query = (
         stream.writeStream.outputMode("update")
@@ -38,19 +40,14 @@ def upsert(stream: DataFrame, path: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def latest(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Last version per key of a table written by :func:`upsert`."""
-    rest = [c for c in df.columns if c not in (*keys, "batch")]
-    newest = F.max(F.struct("batch", *rest)).alias("v")
-    return df.groupBy(*keys).agg(newest).select(*keys, *[F.col(f"v.{c}") for c in rest])
-
-
 def drain(stream: DataFrame, mode: str = "append", keys: list[str] | None = None) -> DataFrame:
     """Run a stream over the available input and return its result as a table."""
     spark = stream.sparkSession
     base = scratch_path(spark, "stream")
     if mode == "update":
-        upsert(stream, f"{base}/out", f"{base}/checkpoint")
-        return latest(spark.read.parquet(f"{base}/out"), keys or [])
+        if not keys:
+            raise ValueError("an update-mode result is merged by its keys")
+        upsert(stream, f"{base}/out", f"{base}/checkpoint", keys)
+        return keyed.current(spark, f"{base}/out", stream.schema)
     to_table(stream, f"{base}/out", f"{base}/checkpoint", mode)
     return spark.read.schema(stream.schema).parquet(f"{base}/out")

@@ -10,7 +10,7 @@ from cartwright.operators.causal import propensity as A
 from cartwright.operators.ordering import rank_within
 from cartwright.operators.predictive import cox as X
 from cartwright.operators.predictive import survival as U
-from cartwright.session import materialise
+from cartwright.session import materialise, scratch_path
 from cartwright.sources import testtables as T
 from cartwright.streaming import alarms, live
 from cartwright.streaming.run import drain
@@ -426,15 +426,28 @@ def _(spark, d):
     return drain(live.running_arms(named), "update", ["experiment_name", "variant"])
 
 
-@query("live_revenue_alarms_stream")
+@query(
+    "live_revenue_alarms_stream",
+    f"""WITH RECURSIVE numbered AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY "at") AS k FROM (
+      SELECT event_type AS series, date_trunc('hour', ts) AS "at", {money("value")} AS value FROM events GROUP BY 1, 2)),
+    level AS (SELECT series, avg(value) AS m, coalesce(nullif(stddev_samp(value), 0), 1) AS s FROM numbered WHERE k <= 50 GROUP BY 1),
+    walk AS (
+      SELECT series, 50::BIGINT AS k, 0::DOUBLE AS up, 0::DOUBLE AS down FROM level
+      UNION ALL
+      SELECT n.series, n.k, greatest(0, CASE WHEN up > 5 OR down > 5 THEN 0 ELSE up END + (value - m) / s - 0.5::DOUBLE),
+        greatest(0, CASE WHEN up > 5 OR down > 5 THEN 0 ELSE down END - (value - m) / s - 0.5::DOUBLE)
+      FROM walk w JOIN numbered n ON n.series = w.series AND n.k = w.k + 1 JOIN level l ON l.series = n.series)
+    SELECT n.series, n."at", n.value, round(up, 6) AS cusum_upper, round(down, 6) AS cusum_lower,
+      CASE WHEN up > 5 THEN 'increase' WHEN down > 5 THEN 'decrease' END AS anomaly_type
+    FROM numbered n LEFT JOIN walk w ON w.series = n.series AND w.k = n.k AND w.k > 50""",
+)
 def _(spark, d):
     hourly = (
         event_batch(spark, d)
         .groupBy(F.col("event_type").alias("series"), F.date_trunc("hour", "ts").alias("at"))
         .agg(exact_sum("value").alias("value"))
     )
-    points = materialise(hourly, "points")
-    level = points.agg(F.avg("value").alias("m"), F.stddev("value").alias("s")).first()
-    path = points.inputFiles()[0].rsplit("/", 1)[0]
-    stream = spark.readStream.schema(points.schema).parquet(path)
-    return drain(alarms.cusum_stream(stream, level["m"], level["s"]))
+    path = scratch_path(spark, "points")
+    hourly.write.parquet(path)
+    stream = spark.readStream.schema(hourly.schema).parquet(path)
+    return ntz(rounded(drain(alarms.cusum_stream(stream)), 6, "cusum_upper", "cusum_lower"), "at")

@@ -1,5 +1,6 @@
 """Readers, sinks, contracts and the batch flow."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,3 +121,56 @@ def test_report_views_answer_sql(spark):
     row = ("e", "d", "proportion", 5, 6, 0.1234567, 0.2, 0.61999, 0.01, 0.02, 0.8, True, "ship")
     assert report_views.register_trial_view(spark.createDataFrame([row], kind)) == "vw_ab_dashboard"
     assert spark.sql("SELECT control_mean, p_value_fdr FROM vw_ab_dashboard").first() == (0.123457, 0.02)
+
+
+def test_keyed_table_replays_prunes_buckets_and_bounds_its_files(spark, tmp_path):
+    import glob
+    import os
+
+    from cartwright.sources import keyed
+
+    path, schema = str(tmp_path / "gold"), "k long, name string, v double"
+    want = {}
+    rng = np.random.default_rng(3)
+    for version in range(6):
+        rows = {int(k): (f"n{version}", float(version)) for k in rng.integers(0, 40, 12)}
+        rows[None] = ("null key", float(version))
+        batch = spark.createDataFrame([(k, *v) for k, v in rows.items()], schema)
+        assert keyed.merge(batch, path, ["k"], version, buckets=4)
+        want |= rows
+        got = keyed.current(spark, path, batch.schema).collect()
+        assert len(got) == len(want) and {r["k"]: (r["name"], r["v"]) for r in got} == want
+        # The same version again, or an older one, changes nothing.
+        other = spark.createDataFrame([(1, "wrong", -1.0)], schema)
+        assert not keyed.merge(other, path, ["k"], version, buckets=4)
+        assert {r["k"]: (r["name"], r["v"]) for r in keyed.current(spark, path, batch.schema).collect()} == want
+        assert len(glob.glob(f"{path}/data/*/_bucket=*")) <= 8 and len(keyed.commits(spark, path)) <= 2
+
+    # A batch of one key writes one bucket.
+    one = spark.createDataFrame([(7, "x", 0.5)], schema)
+    before = {r["k"] for r in keyed.current(spark, path, one.schema).collect()}
+    keyed.merge(one, path, ["k"], 6, buckets=4)
+    assert len(glob.glob(f"{path}/data/6/_bucket=*")) == 1
+    assert {r["k"] for r in keyed.current(spark, path, one.schema).collect()} == before | {7}
+
+    # Data without its marker is not seen, and is replaced when the version is merged again.
+    os.remove(f"{path}/commits/6/_SUCCESS")
+    assert {r["k"]: r["name"] for r in keyed.current(spark, path, one.schema).collect()} == {k: v[0] for k, v in want.items()}
+    assert keyed.merge(spark.createDataFrame([(7, "y", 0.5)], schema), path, ["k"], 6, buckets=4)
+    assert keyed.current(spark, path, one.schema).filter("k = 7").first()["name"] == "y"
+
+
+def test_keyed_table_edges(spark, tmp_path):
+    from cartwright.sources import keyed
+
+    path, schema = str(tmp_path / "edges"), "k long, v double"
+    empty = spark.createDataFrame([], schema)
+    assert keyed.current(spark, path, empty.schema).count() == 0
+    assert keyed.merge(empty, path, ["k"], 0) and keyed.current(spark, path, empty.schema).count() == 0
+    repeated = spark.createDataFrame([(1, 2.0), (1, 5.0), (1, None), (2, None)], schema)
+    keyed.merge(repeated, path, ["k"], 1)
+    assert sorted((r["k"], r["v"]) for r in keyed.current(spark, path, empty.schema).collect()) == [(1, 5.0), (2, None)]
+    keyed.merge(spark.createDataFrame([(1, None)], schema), path, ["k"], 2)  # the newer version wins, null or not
+    assert keyed.current(spark, path, empty.schema).filter("k = 1").first()["v"] is None
+    with pytest.raises(ValueError):
+        keyed.merge(spark.createDataFrame([(1, 2)], "k long, _bucket int"), path, ["k"], 3)

@@ -140,3 +140,74 @@ def test_alarm_state_carries_over_batches(spark, tmp_path):
     first, u, l = alarms._advance(pdf[:30], 0.0, 0.0, 100.0, 10.0, 0.5, 5.0)
     second, _, _ = alarms._advance(pdf[30:], u, l, 100.0, 10.0, 0.5, 5.0)
     assert first + second == want
+
+
+def batch_alarms(pdf, warmup, slack=0.5, threshold=5.0):
+    """Level from the first points, then the plain recursion over each sorted series."""
+    out = []
+    for series, g in pdf.sort_values(["at", "value"]).groupby("series", dropna=False):
+        values = g["value"].to_numpy()
+        mean, deviation = values[:warmup].mean(), values[:warmup].std(ddof=1) or 1.0
+        up = down = 0.0
+        for i, (at, v) in enumerate(zip(g["at"], values)):
+            if i < warmup:
+                out.append((series, at, v, None, None, None))
+                continue
+            z = (v - mean) / deviation
+            up, down = max(0.0, up + z - slack), max(0.0, down - z - slack)
+            kind = "increase" if up > threshold else "decrease" if down > threshold else None
+            out.append((series, at, v, round(up, 9), round(down, 9), kind))
+            if kind:
+                up = down = 0.0
+    return sorted(out, key=str)
+
+
+def test_alarms_of_late_and_unordered_points_are_those_of_the_sorted_batch(spark, tmp_path):
+    rng = np.random.default_rng(11)
+    start = pd.Timestamp("2024-01-01")
+    n = 240
+    pdf = pd.concat(
+        [
+            pd.DataFrame({"series": [name] * n, "at": start + pd.to_timedelta(np.arange(n), unit="h"), "value": rng.normal(100, 10, n).round(3)})
+            for name in ("a", "b", None)
+        ],
+        ignore_index=True,
+    )
+    pdf.loc[(pdf["series"] == "a") & (pdf["at"] > start + pd.Timedelta("150h")), "value"] += 25
+    pdf.loc[pdf["series"] == "b", "value"] = np.where(np.arange(n) < 200, 7.0, 9.0)  # no deviation at first
+    twice = pdf[pdf["series"] == "a"].iloc[[60]].assign(value=1.0)  # two points of one time
+    pdf = pd.concat([pdf, twice], ignore_index=True)
+    arrival = pdf["at"] + pd.to_timedelta(rng.integers(0, 20, len(pdf)), unit="h")
+    order = pdf.iloc[np.argsort(arrival.to_numpy(), kind="stable")]
+    parts = [order.iloc[i : i + 150] for i in range(0, len(order), 150)]
+    too_late = pd.DataFrame({"series": ["a"], "at": [start + pd.Timedelta("1min")], "value": [1e6]})
+    last = pd.DataFrame({"series": ["end", "a", "a"], "at": [start + pd.Timedelta("900D"), None, start], "value": [1.0, 5.0, None]})
+    schema = "series string, at timestamp, value double"
+    path = str(tmp_path / "points")
+    for part in [*parts, pd.concat([too_late, last])]:
+        rows = [(s, None if pd.isna(at) else at.to_pydatetime(), None if pd.isna(v) else float(v)) for s, at, v in part.itertuples(index=False)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    got = drain(alarms.cusum_stream(stream, warmup=50, delay="48 hours")).filter("series is distinct from 'end'").collect()
+    digits = lambda x: None if x is None else round(x, 9)
+    rows = [(r["series"], pd.Timestamp(r["at"]), r["value"], digits(r["cusum_upper"]), digits(r["cusum_lower"]), r["anomaly_type"]) for r in got]
+    clean = pdf.assign(series=pdf["series"].astype(object).where(pdf["series"].notna(), None))
+    want = [(None if pd.isna(s) else s, *rest) for s, *rest in batch_alarms(clean, 50)]
+    assert sorted(rows, key=str) == sorted(want, key=str)
+    assert {r[5] for r in rows} >= {"increase"}
+    empty = str(tmp_path / "none")
+    spark.createDataFrame([], schema).write.parquet(empty)
+    assert drain(alarms.cusum_stream(spark.readStream.schema(schema).parquet(empty))).count() == 0
+    with pytest.raises(ValueError):
+        alarms.cusum_stream(stream, target=1.0)
+
+
+def test_quiet_series_leave_the_state_and_start_anew(spark, tmp_path):
+    start, schema, path = pd.Timestamp("2024-01-01"), "series string, at timestamp, value double", str(tmp_path / "points")
+    hours = lambda name, *hs: [(name, (start + pd.Timedelta(hours=h)).to_pydatetime(), float(h)) for h in hs]
+    for part in (hours("a", 0, 1, 2), hours("b", 100), hours("b", 101), hours("a", 200, 201, 202)):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(path)
+    stream = lambda: spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    unscored = lambda **kw: drain(alarms.cusum_stream(stream(), warmup=3, **kw)).filter("series = 'a' and cusum_upper is null").count()
+    assert unscored() == 3
+    assert unscored(forget=3600) == 6
