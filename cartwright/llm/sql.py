@@ -5,7 +5,10 @@ from __future__ import annotations
 _FOLD = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
-def _url_levels(depth: int = 4) -> str:
+_LEVELS = 6  # more than the segments of any path in the test tables; the statement ends with an error beyond them
+
+
+def _url_levels(depth: int = _LEVELS) -> str:
     """Template tree of the URL filter, one block of common table expressions per level."""
     raws = [f"r{i}" for i in range(1, depth + 1)]
     shape = (
@@ -21,8 +24,8 @@ def _url_levels(depth: int = 4) -> str:
     sql = f"""
     shaped AS (SELECT *, {", ".join(cols)} FROM (
       SELECT *, string_split(regexp_replace(path, '^/', ''), '/') AS segs FROM ruled)),
-    t0 AS (SELECT host, {", ".join(raws)}, '' AS tpl, count(*) AS n, count(bad) AS lab, coalesce(sum(bad), 0) AS bad
-      FROM shaped GROUP BY ALL)"""
+    t0 AS (SELECT host, {", ".join(raws)}, '' AS tpl, 1 AS n, count(bad) AS lab, coalesce(sum(bad), 0) AS bad
+      FROM shaped WHERE CASE WHEN len(segs) > {depth} THEN error('a path is too deep') ELSE true END GROUP BY ALL)"""
     for i, r in enumerate(raws):
         sql += f""",
     c{i} AS (SELECT host, tpl, {r}, sum(n) AS n, sum(lab) AS lab, sum(bad) AS bad FROM t{i} GROUP BY ALL),
@@ -37,7 +40,7 @@ def _url_levels(depth: int = 4) -> str:
       JOIN s{i} s ON t.host = s.host AND t.tpl = s.tpl AND t.{r} = s.{r})"""
     return sql + f""",
     pri AS (SELECT (sum(bad) + 1.0) / (sum(lab) + 2.0) AS prior FROM t{depth}),
-    pur AS (SELECT host, tpl, (sum(bad) + 4.0 * any_value(prior)) / (sum(lab) + 4.0) AS purity
+    pur AS (SELECT host, tpl, CASE WHEN sum(lab) > 0 THEN (sum(bad) + 4.0 * any_value(prior)) / (sum(lab) + 4.0) END AS purity
       FROM t{depth}, pri GROUP BY host, tpl),
     fin AS (SELECT t.host, {", ".join("t." + r for r in raws)}, purity FROM t{depth} t JOIN pur USING (host, tpl))"""
 
@@ -58,7 +61,7 @@ WITH cut AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, in
 SELECT page_id, s.host AS host, path, rule, CASE WHEN bad = 1 THEN 'block' WHEN bad = 0 THEN 'allow'
     WHEN purity >= 0.8 THEN 'block' ELSE 'allow' END AS verdict
 FROM shaped s LEFT JOIN fin f
-  ON s.host = f.host AND s.r1 = f.r1 AND s.r2 = f.r2 AND s.r3 = f.r3 AND s.r4 = f.r4
+  ON s.host = f.host AND {" AND ".join(f"s.r{i} = f.r{i}" for i in range(1, _LEVELS + 1))}
 """
 
 _WORDS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')".format(_FOLD.format("coalesce(text, '')"))

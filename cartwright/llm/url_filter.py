@@ -9,7 +9,8 @@ The tree is built from one row per host and generalised path, so a host holding
 anything is grouped by host.
 
 Defined cases: a null URL, or one without ``://``, has an empty host and path, fits no rule and is allowed. Repeated
-rows are judged alike. Hosts without labelled pages have the prior as purity. Further columns of the input are ignored.
+rows are judged alike. Templates without labelled pages have the prior as purity and are allowed. Paths of any depth are read
+whole. Further columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -70,35 +71,50 @@ def _segment_shape(segment: Column) -> Column:
     )
 
 
+def path_segments(path: Column) -> Column:
+    """All segments of a path by their shape, however many; slashes at the end add none."""
+    inner = F.regexp_replace(F.regexp_replace(path, "^/", ""), "/+$", "")
+    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.transform(F.split(inner, "/"), _segment_shape))
+
+
+def _literal(segments: Column) -> Column:
+    """Segments as the end of a template; empty ones leave no trace."""
+    return F.concat_ws("", F.transform(F.filter(segments, lambda s: s != ""), lambda s: F.concat(F.lit("/"), s)))
+
+
 def template_verdicts(
     labelled: DataFrame,
-    depth: int = 4,
     max_children: int = 16,
     min_novelty: float = 0.5,
     z_limit: float = 1.96,
     strength: float = 4.0,
     threshold: float = 0.8,
 ) -> DataFrame:
-    """Template and purity per ``(host, raw_1 .. raw_depth)`` of ``labelled``: columns host, raw_*, bad (0/1 or null).
+    """Template and purity per ``(host, raw)`` of ``labelled``: columns host, raw (array of segments), bad (0/1 or null).
 
-    ``depth`` levels of the path are told apart; what lies deeper shares the template of its first ``depth`` segments.
+    A level is a wildcard when its node has more than ``max_children`` children and these are at least ``min_novelty`` of the
+    distinct paths below it; repeated visits of a path count once. The tree grows level by level. A node whose paths go on
+    alike cannot branch any more: its templates end in those segments and it leaves the loop, so the number of levels is that of
+    the deepest branching, not of the longest path, and later levels read open paths alone. Templates without labelled pages
+    are never rejected.
     """
-    raw = [f"raw_{i}" for i in range(1, depth + 1)]
-    leaves = labelled.groupBy("host", *raw).agg(
-        F.count(F.lit(1)).alias("n"), F.count("bad").alias("labelled"), F.sum(F.coalesce("bad", F.lit(0))).alias("bad")
-    )
+    leaves = labelled.groupBy("host", "raw").agg(F.count("bad").alias("labelled"), F.sum(F.coalesce("bad", F.lit(0))).alias("bad"))
     tree = materialise(leaves, "templates").withColumn("template", F.lit(""))
-    for column in raw:
-        branch = ["host", "template"]
+    branch, level, ended = ["host", "template"], 0, []
+    while True:
+        tail = F.slice("raw", level + 1, F.greatest(F.size("raw") - level, F.lit(0)))
+        here = tree.withColumn("_tail", tail).withColumn("_child", F.coalesce(F.get("raw", F.lit(level)), F.lit("")))
         # One row per branch below each node, with its share of bad pages.
-        children = tree.groupBy(*branch, column).agg(
-            F.sum("n").alias("c_n"), F.sum("labelled").alias("c_lab"), F.sum("bad").alias("c_bad")
+        children = here.groupBy(*branch, "_child").agg(
+            F.count(F.lit(1)).alias("c_n"), F.sum("labelled").alias("c_lab"), F.sum("bad").alias("c_bad"),
+            F.min("_tail").alias("_low"), F.max("_tail").alias("_high"),
         )
         nodes = children.groupBy(*branch).agg(
             F.count(F.lit(1)).alias("n_children"),
             F.sum("c_n").alias("p_n"),
             F.sum("c_lab").alias("p_lab"),
             F.sum("c_bad").alias("p_bad"),
+            (F.min("_low") == F.max("_high")).alias("_alike"),
         )
         both = children.join(nodes, branch)
         wild = (F.col("n_children") > max_children) & (F.col("n_children") >= F.col("p_n") * min_novelty)
@@ -109,13 +125,23 @@ def template_verdicts(
         difference = F.abs(F.col("c_bad") / F.col("c_lab") - o_bad / o_lab)
         similar = (F.col("c_lab") > 0) & (o_lab > 0) & (difference <= z_limit * spread)
         step = (
-            F.when(F.col(column) == "", F.lit(""))
+            F.when(F.col("_child") == "", F.lit(""))
             .when(wild | similar, F.lit("/*"))
-            .otherwise(F.concat(F.lit("/"), F.col(column)))
+            .otherwise(F.concat(F.lit("/"), F.col("_child")))
         )
-        steps = both.select(*branch, column, step.alias("_step"))
-        grown = tree.join(steps, [*branch, column]).withColumn("template", F.concat("template", "_step")).drop("_step")
-        tree = materialise(grown, "templates")  # every level reads the one before several times
+        steps = both.select(*branch, "_child", step.alias("_step"), "_alike")
+        grown = here.join(steps, [*branch, "_child"])
+        over = F.col("_alike") | (F.size("raw") <= level)
+        grown = grown.withColumn(
+            "template", F.concat("template", F.when(F.col("_alike"), _literal(F.col("_tail"))).otherwise(F.col("_step")))
+        ).select(*tree.columns, over.alias("_over"))
+        grown = materialise(grown, "templates")  # every level reads the one before several times
+        ended.append(grown.filter("_over").drop("_over"))
+        tree = grown.filter("not _over").drop("_over")
+        if not tree.limit(1).count():
+            break
+        level += 1
+    tree = reduce(DataFrame.unionByName, ended)
     prior = tree.agg((F.sum("bad") + 1.0).alias("b"), (F.sum("labelled") + 2.0).alias("l")).select(
         (F.col("b") / F.col("l")).alias("prior")
     )
@@ -124,9 +150,10 @@ def template_verdicts(
         "host",
         "template",
         ((F.col("t_bad") + strength * F.coalesce("prior", F.lit(0.5))) / (F.col("t_lab") + strength)).alias("purity"),
+        (F.col("t_lab") > 0).alias("known"),
     )
-    rejected = F.col("purity") >= threshold
-    return tree.join(scored, ["host", "template"]).select("host", *raw, "template", "purity", rejected.alias("rejected"))
+    rejected = F.col("known") & (F.col("purity") >= threshold)
+    return tree.join(scored, ["host", "template"]).select("host", "raw", "template", "purity", rejected.alias("rejected"))
 
 
 def filter_urls(
@@ -134,7 +161,6 @@ def filter_urls(
     rules: Sequence[tuple[str, str, str]],
     url: str = "url",
     key: str = "page_id",
-    depth: int = 4,
     **tree: float,
 ) -> DataFrame:
     """One row per page: key, host, path, rule, verdict, template, purity.
@@ -145,16 +171,10 @@ def filter_urls(
     parsed = pages.select(F.col(key), host.alias("host"), path.alias("path")).withColumn(
         "_rule", fitting_rule(F.col("host"), F.col("path"), rules)
     )
-    segments = F.split(F.regexp_replace("path", "^/", ""), "/")
-    raw = [f"raw_{i}" for i in range(1, depth + 1)]
-    shaped = parsed.select(
-        "*", *[_segment_shape(F.coalesce(F.get(segments, F.lit(i)), F.lit(""))).alias(c) for i, c in enumerate(raw)]
-    )
+    shaped = parsed.withColumn("raw", path_segments(F.col("path")))
     bad = F.when(F.col("_rule.action") == BLOCK, 1).when(F.col("_rule").isNotNull(), 0).cast("int")
-    verdicts = materialise(
-        template_verdicts(shaped.select("host", *raw, bad.alias("bad")), depth, **tree), "verdicts"
-    )
-    same = reduce(lambda a, b: a & b, [shaped[c] == verdicts[c] for c in ("host", *raw)])
+    verdicts = materialise(template_verdicts(shaped.select("host", "raw", bad.alias("bad")), **tree), "verdicts")
+    same = (shaped["host"] == verdicts["host"]) & (shaped["raw"] == verdicts["raw"])
     judged = shaped.join(verdicts.hint("shuffle_merge"), same, "left").select(
         key, shaped["host"], "path", "_rule", "template", "purity", "rejected"
     )

@@ -61,11 +61,33 @@ def test_bad_template_is_rejected(spark):
     rows += [(100 + i, f"http://h.com/spam/{i}/de") for i in range(3)]
     labelled = spark.createDataFrame(rows, "page_id long, url string")
     host, path = url_filter.url_parts(F.col("url"))
-    seg = F.split(F.regexp_replace(path, "^/", ""), "/")
-    df = labelled.select(host.alias("host"), *[url_filter._segment_shape(F.coalesce(F.get(seg, F.lit(i)), F.lit(""))).alias(f"raw_{i + 1}") for i in range(4)],
-                         F.when(F.col("page_id") < 60, (F.col("page_id") % 2).cast("int")).alias("bad"))
-    got = {(r["raw_1"], r["raw_3"]): r["rejected"] for r in url_filter.template_verdicts(df).collect()}
-    assert got[("spam", "")] is True and got[("good", "")] is False
+    bad = F.when(F.col("page_id") < 60, (F.col("page_id") % 2).cast("int")).alias("bad")
+    df = labelled.select(host.alias("host"), url_filter.path_segments(path).alias("raw"), bad)
+    got = {(r["raw"][0], len(r["raw"])): r["rejected"] for r in url_filter.template_verdicts(df).collect()}
+    assert got[("spam", 2)] is True and got[("good", 2)] is False and got[("spam", 3)] is False
+
+
+def test_deep_branches_are_told_apart(spark):
+    deep = "/a/b/c/d/e/f"
+    rows = [(f"http://h.com{deep}/{'spam' if i % 2 else 'good'}/x{'abcdefghij'[i % 10]}{'klmnop'[i // 10]}", i % 2) for i in range(60)]
+    rows += [(f"http://h.com{deep}/spam/new", None), (f"http://h.com{deep}/spam/new/", None), ("http://other.com" + "/s" * 400, None)]
+    rows += [("http://h.com//", None), ("http://h.com", None)]
+    urls = spark.createDataFrame(rows, "url string, bad int")
+    host, path = url_filter.url_parts(F.col("url"))
+    df = urls.select(host.alias("host"), url_filter.path_segments(path).alias("raw"), "bad")
+    got = url_filter.template_verdicts(df).collect()
+    assert len(got) == 60 + 3
+    for r in got:
+        if len(r["raw"]) == 8 and r["raw"][-1] != "new":
+            assert r["rejected"] is (r["raw"][6] == "spam")
+    assert next(r for r in got if r["host"] == "other.com")["template"] == "/s" * 400
+    assert [r["template"] for r in got if not r["raw"]] == [""]
+    # A prior above the threshold does not reject what nobody labelled.
+    bad = df.withColumn("bad", F.when(F.col("bad").isNotNull(), 1))
+    assert not any(r["rejected"] for r in url_filter.template_verdicts(bad).collect() if r["host"] == "other.com" or not r["raw"])
+    # Visits of one path do not hide that its level is variable.
+    many = spark.createDataFrame([("h", [f"n{chr(97 + i)}"], None) for i in range(20) for _ in range(5)], "host string, raw array<string>, bad int")
+    assert {r["template"] for r in url_filter.template_verdicts(many).collect()} == {"/*"}
 
 
 # --- near duplicates ----------------------------------------------------------------------------------------------------------
