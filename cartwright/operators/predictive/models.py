@@ -22,7 +22,7 @@ from cartwright.operators.predictive.weibull import WeibullModel
 
 # What each model keeps beside its small fields.
 _STAGES = {ChurnModel: ("pipeline",)}
-_TABLES = {Similarity: ("light", "heavy")}
+_TABLES = {Similarity: ("light", "heavy", "cells")}
 _KINDS = {m.__name__: m for m in (ChurnModel, CoxModel, Fit, Similarity, WeibullModel)}
 
 

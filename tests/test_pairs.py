@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from cartwright.operators import blocks
+from cartwright.operators import blocks, products
 from cartwright.operators.cooccurrence import frequent_pairs
 from cartwright.operators.predictive import recommend as R
 from cartwright.session import materialise
@@ -157,3 +157,31 @@ def test_small_cosines_are_the_same_at_every_limit(spark):
         scores.append(sorted(map(tuple, R.score_users(cells, similarity).collect())))
     assert len(near[0]) == 12 and near[0] == near[1]
     assert len(scores[0]) == 12 and scores[0] == scores[1]
+
+
+@pytest.mark.parametrize("cells_per_block", [15, 4_000_000])
+def test_scores_and_neighbours_need_no_pairs(spark, cells_per_block, monkeypatch):
+    """The unit cells alone give what the pairs give, in one block or many."""
+    monkeypatch.setattr(products, "BLOCK_CELLS", cells_per_block)
+    cells = materialise(spark.createDataFrame(baskets(seed=5)))
+    known = R.item_similarity(cells)
+    pairs, alone = R.Similarity(known.light, None), R.Similarity(None, None, known.cells)
+    for fn in (lambda s: R.similar_items(s, n=4), lambda s: R.score_users(cells, s, n=3)):
+        want = sorted((r[0], r[1], round(r[2], 6), r[3]) for r in fn(pairs).collect())
+        assert sorted((r[0], r[1], round(r[2], 6), r[3]) for r in fn(alone).collect()) == want
+
+
+def test_dense_and_ruled_out_products(spark):
+    rng = np.random.default_rng(1)
+    x, y = rng.normal(size=(40, 6)), rng.normal(size=(150, 6))
+    sides = [
+        spark.createDataFrame([(f"k{k}", i, float(m[i, k])) for i in range(len(m)) for k in range(6)], "k string, id long, w double")
+        for m in (x, y)
+    ]
+    scores = x @ y.T
+    out = [(i, int(np.argmax(scores[i]))) for i in range(40)]
+    for i, j in out:
+        scores[i, j] = -np.inf
+    got = products.best_of_products(*sides, 3, spark.createDataFrame(out, "l long, r long"), positive_only=False, same_ids=False)
+    want = {(i, int(j)) for i in range(40) for j in np.argsort(-scores[i])[:3]}
+    assert {(r["l"], r["r"]) for r in got.collect()} == want
