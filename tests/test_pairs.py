@@ -185,3 +185,11 @@ def test_dense_and_ruled_out_products(spark):
     got = products.best_of_products(*sides, 3, spark.createDataFrame(out, "l long, r long"), positive_only=False, same_ids=False)
     want = {(i, int(j)) for i in range(40) for j in np.argsort(-scores[i])[:3]}
     assert {(r["l"], r["r"]) for r in got.collect()} == want
+
+
+def test_an_item_without_a_feature_takes_nothing_from_others(spark):
+    rows = [(i, [1.0, None if i == 3 else float(i)]) for i in range(90)]
+    features = spark.createDataFrame(rows, "item long, features array<double>")
+    got = R.blended_neighbours(features, n=2).toPandas()
+    assert set(got["item"]) == set(range(90)) - {3} == set(got["item"]) | set(got["other"])
+    assert len(got) == 89 * 2
