@@ -347,3 +347,10 @@ def test_models_are_loaded_as_saved(spark, tmp_path):
         models.load_model(spark, f"{path}/cox", clv.Fit)
     with pytest.raises(TypeError):
         models.save_model(spark, {"a": 1}, f"{path}/other")
+
+
+def test_als_keeps_one_iteration_of_shuffles(spark):
+    cells = spark.createDataFrame([(u, i, 1.0) for u in range(12) for i in range(u % 3, 9, 2)], "user int, item int, w double")
+    model = recommend.fit_als(cells, rank=2, iterations=2)
+    assert spark.sparkContext.getCheckpointDir() is not None
+    assert model._java_obj.parent().getCheckpointInterval() == 1
