@@ -48,6 +48,7 @@ def save_model(spark: SparkSession, model: Any, path: str) -> None:
         raise TypeError(f"no way to save a {kind.__name__}")
     stages, tables = _STAGES.get(kind, ()), _TABLES.get(kind, ())
     small = {f.name: _plain(getattr(model, f.name)) for f in fields(model) if f.name not in stages + tables}
+    small["_tables"] = list(tables)
     missing = [name for name in tables if getattr(model, name) is None]
     for name in stages:
         getattr(model, name).write().overwrite().save(f"{path}/{name}")
@@ -70,6 +71,7 @@ def load_model(spark: SparkSession, path: str, kind: type | None = None) -> Any:
         values["baseline"] = [tuple(step) for step in values["baseline"]]
     values |= {name: PipelineModel.load(f"{path}/{name}") for name in _STAGES.get(found, ())}
     missing = json.loads(row["missing"])
+    written = values.pop("_tables", ["light", "heavy"])  # folders without the list are older than the table of cells
     for name in _TABLES.get(found, ()):
-        values[name] = None if name in missing else spark.read.parquet(f"{path}/{name}")
+        values[name] = None if name in missing or name not in written else spark.read.parquet(f"{path}/{name}")
     return found(**values)
