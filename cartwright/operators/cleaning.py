@@ -25,11 +25,14 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> D
     """One row per key: the smallest by ``order_by``, remaining columns breaking ties.
 
     An aggregate, not a window: copies of a key fold together on the map side, so a key with a third of all rows does
-    not gather in one task.
+    not gather in one task. The aggregate sorts whatever a task holds, after a join several large sorts in the same task, so
+    rows go through ``rebalance`` first: by all columns, as by the keys alone the fold before the shuffle would be gone.
+    A task then sorts rows of about the advisory size however large the table is.
     """
     rest = [c for c in df.columns if c not in keys]
     ordered = [*order_by, *[c for c in rest if c not in order_by]]
-    picked = df.groupBy(*keys).agg(F.min(F.struct(*ordered)).alias("_row"))
+    spread = df.hint("rebalance", *df.columns) if rest else df
+    picked = spread.groupBy(*keys).agg(F.min(F.struct(*ordered)).alias("_row"))
     return picked.select(*[F.col(c) if c in keys else F.col(f"_row.{c}") for c in df.columns])
 
 

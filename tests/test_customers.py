@@ -77,6 +77,22 @@ def test_hot_key_is_deduplicated_whole(spark):
     assert got == {0: 0, 1: 1, 2: 5}
 
 
+def test_a_task_sorts_rows_of_a_bounded_size_before_keys_fold(spark, capsys):
+    """Whatever one task has joined or scanned is not what its aggregate sorts: rows are rebalanced, then fold."""
+    rows = spark.range(6_000, numPartitions=1).select(
+        (F.col("id") % 2 * F.col("id")).alias("k"), F.hash("id").alias("w"), F.col("id").alias("v")
+    )
+    first = cleaning.keep_first(rows, ["k"], ["v"])
+    got = first.agg(F.count("k").alias("n"), F.sum(F.col("k") - F.col("v")).alias("off")).first()
+    assert (got["n"], got["off"]) == (3_001, 0)
+    first.explain()
+    plan = capsys.readouterr().out
+    spread = plan.index("REBALANCE_PARTITIONS_BY_COL")
+    # Folded before and after the shuffle by key.
+    assert plan.index("SortAggregate") < plan.index("ENSURE_REQUIREMENTS") < plan.rindex("SortAggregate") < spread
+
+
+
 def test_cohorts_cross_years(spark):
     txn = spark.createDataFrame(
         [(1, "2022-11-05"), (1, "2024-01-09"), (2, "2022-11-20")], "customer_id long, d string"
