@@ -1,5 +1,8 @@
 """Readers, sinks, contracts and the batch flow."""
 
+import glob
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -174,3 +177,15 @@ def test_keyed_table_edges(spark, tmp_path):
     assert keyed.current(spark, path, empty.schema).filter("k = 1").first()["v"] is None
     with pytest.raises(ValueError):
         keyed.merge(spark.createDataFrame([(1, 2)], "k long, _bucket int"), path, ["k"], 3)
+
+
+def test_written_intermediates_leave_no_shuffle_files(spark):
+    folders = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+    shuffles = lambda: {p for d in folders for p in glob.glob(f"{d}/*/shuffle_*.data")}
+    before = shuffles()
+    out = materialise(spark.range(20_000).groupBy((F.col("id") % 7_000).alias("k")).count(), "summed")
+    until = time.time() + 20  # deleted in the background
+    while shuffles() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffles() - before
+    assert out.count() == 7_000 and out.agg(F.sum("count")).first()[0] == 20_000
