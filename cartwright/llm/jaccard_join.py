@@ -320,8 +320,11 @@ def _join_blocks(texts: DataFrame, large: DataFrame, edges: DataFrame, block: in
     rows = materialise(parts.join(main, "cluster"), "apart")
     n_ask, n_all = F.ceil(F.col("rest") / block), F.ceil(F.col("all") / block)
     mine_ask, mine = F.pmod(F.xxhash64("rep", F.lit(-1)), n_ask), F.pmod(F.xxhash64("rep", F.lit(-2)), n_all)
-    pick = lambda a, b, role: F.struct(F.lit(3).alias("kind"), F.col("cluster").alias("c"), (a * 1_000_003 + b).alias("x"), F.lit(role).alias("r"))  # noqa: E731,E501
-    asks = rows.filter("part <> main").withColumn("t", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), n_all - 1), lambda b: pick(mine_ask, b, 1))))
-    told = rows.withColumn("t", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), n_ask - 1), lambda a: pick(a, mine, 2))))
-    both = asks.union(told).select("rep", "cluster", F.struct("t.kind", "t.c", "t.x").alias("task"), "part", F.col("t.r").alias("role"))
-    return extra.union(_search(_with_texts(both, texts), width, num, den))
+    deal = lambda df, a, b, role: df.select("rep", "cluster", F.struct(F.lit(3).alias("kind"), F.col("cluster").alias("c"), (F.lit(a) * 1_000_003 + b).alias("x")).alias("task"), "part", F.lit(role).alias("role"))  # noqa: E731,E501
+    # One asking block of every cluster at a time: a round copies each text about twice, all at once would do so for every block.
+    for a in range(rows.agg(F.max(n_ask)).first()[0] or 0):
+        asks = rows.filter("part <> main").filter(mine_ask == a).withColumn("b", F.explode(F.sequence(F.lit(0).cast("long"), n_all - 1)))
+        told = rows.filter(n_ask > a)
+        both = deal(asks, a, F.col("b"), 1).union(deal(told, a, mine, 2))
+        extra = materialise(extra.union(_search(_with_texts(both, texts), width, num, den)), "verified")
+    return extra
