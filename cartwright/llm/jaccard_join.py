@@ -7,10 +7,18 @@ concatenation counts occurrences), keeps documents with at least T - L hits, and
 Which documents share a task: similar sets differ in at most d = (s + t)(den - num) / (den + num) shingles, so when shingles are dealt
 to d + 1 + E parts by their hash, at least E + 1 parts are equal. Documents of neighbouring size classes with an equal non-empty part
 are candidates (a document with more than E empty parts also offers those, so nothing is lost; E grows with the parts that sets
-of a class are expected to leave empty, as those are equal in unrelated documents). Candidate components are
-searched; small ones are packed together, large ones are cut into blocks. Blocks are joined by searching one document
-per component found so far, and what is still apart then is searched block against block, so no component is one task and no
-pair of different components is left out. Links inside one component are not needed for its id and are skipped.
+of a class are expected to leave empty, as those are equal in unrelated documents).
+
+A part that holds nothing but a common shingle is equal in unrelated documents and chains them to one large component. Candidate
+components above a block are therefore split by a prefix filter: with its shingles ordered by how often they occur in the large
+components, rarest first, a set of s has s - ceil(num s / den) + 1 of them before the end that any partner must reach, and similar sets
+share one of those. Counts are kept by hash bucket over all these documents, and bits tell shingles that occur once, which come first;
+as any fixed order is exact, buckets that coincide only cost time. It is repeated on what stays large, where counts are finer, as long
+as that shrinks.
+
+Candidate components are searched; small ones are packed together, those still large are cut into blocks. Blocks are joined by
+searching one document per component found so far, and what is still apart then is searched block against block, so no component is
+one task and no pair of different components is left out. Links inside one component are not needed for its id and are skipped.
 
 Copies (equal sets) are folded to one representative before the search. Shingles are 64-bit hashes, copies are told by
 two independent 64-bit sums and the set size.
@@ -23,7 +31,8 @@ one document; texts of any length are read whole.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +43,9 @@ from cartwright.llm.common import components, give_back, mix64, shingle_sets, te
 from cartwright.session import materialise
 
 _EMPTY_PARTS = 3
+_BUCKETS = 1 << 20  # of shingle counts
+_BITS = 1 << 25  # that tell shingles met once
+_CHUNKS = 16
 
 
 def size_classes(largest: int, num: int, den: int) -> np.ndarray:
@@ -72,6 +84,73 @@ def signatures(shingles: np.ndarray, bounds: np.ndarray, num: int, den: int) ->
     return np.concatenate(out)
 
 
+class ShingleCounts:
+    """Tables over the shingles of a collection: how many fall into a bucket, and which bits were met once and more than once."""
+
+    def __init__(self, counts: np.ndarray, once: np.ndarray, more: np.ndarray):
+        self.counts, self.once, self.more = counts, once, more
+
+    @staticmethod
+    def bucket(shingles: np.ndarray) -> np.ndarray:
+        return (shingles % np.uint64(_BUCKETS)).astype(np.int64)
+
+    @staticmethod
+    def bit(shingles: np.ndarray) -> np.ndarray:
+        return (shingles // np.uint64(_BUCKETS) % np.uint64(_BITS)).astype(np.int64)
+
+    def of(self, shingles: np.ndarray) -> np.ndarray:
+        """0 for shingles that surely occur once, else the count of their bucket."""
+        bit = self.bit(shingles)
+        shared = self.more[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8) & 1
+        return self.counts[self.bucket(shingles)] * shared
+
+
+def prefix_signatures(
+    shingles: np.ndarray, table: ShingleCounts, cluster: int, bounds: np.ndarray, num: int, den: int
+) -> np.ndarray:
+    """Hashes of the rarest shingles of one set, of which similar sets in ``cluster`` share one in a common size class."""
+    own = int(np.searchsorted(bounds, len(shingles), side="right")) - 1
+    ahead = len(shingles) - -(-num * len(shingles) // den) + 1
+    rarest = shingles[np.lexsort((shingles, table.of(shingles)))[:ahead]]
+    salts = mix64(mix64(np.array([cluster]).view(np.uint64)) + np.array([own, own + 1], np.uint64))
+    return mix64(rarest ^ salts[:, None]).ravel()
+
+
+def shingle_counts(docs: DataFrame, tasks: int, width: int) -> ShingleCounts:
+    """Tables over the sets of ``docs`` (text), of the same size for every input."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, met = np.zeros(_BUCKETS, np.int64), np.zeros(_BITS, np.uint8)
+        for batch in batches:
+            for rows in text_slices(batch, "text"):
+                shingles = np.concatenate(shingle_sets(rows.column("text"), width))
+                np.add.at(counts, ShingleCounts.bucket(shingles), 1)
+                bits, times = np.unique(ShingleCounts.bit(shingles), return_counts=True)
+                met[bits] = np.minimum(met[bits] + np.minimum(times, 2), 2)
+        tables = (counts.astype(np.uint32), np.packbits(met > 0), np.packbits(met > 1))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(range(_CHUNKS), pa.int32()), *(pa.array([c.tobytes() for c in np.split(t, _CHUNKS)], pa.binary()) for t in tables)],
+            names=["chunk", "counts", "once", "more"],
+        )
+        give_back()
+
+    def add(table: pa.Table) -> pa.Table:
+        total, seen, again = np.zeros(_BUCKETS // _CHUNKS, np.uint32), *np.zeros((2, _BITS // 8 // _CHUNKS), np.uint8)
+        for row in zip(*(table.column(c) for c in ("counts", "once", "more"))):
+            counts, once, more = (np.frombuffer(x.as_buffer(), kind) for x, kind in zip(row, (np.uint32, np.uint8, np.uint8)))
+            total += counts
+            again |= more | (seen & once)
+            seen |= once
+        out = [pa.array([t.tobytes()], pa.binary()) for t in (total, seen, again)]
+        return pa.table([table.column("chunk")[:1], *out], names=["chunk", "counts", "once", "more"])
+
+    schema = "chunk int, counts binary, once binary, more binary"
+    found = docs.select("text").coalesce(tasks).mapInArrow(run, schema).groupBy("chunk").applyInArrow(add, schema)
+    chunks = materialise(found, "counts").orderBy("chunk").collect()
+    kinds = (("counts", np.uint32), ("once", np.uint8), ("more", np.uint8))
+    return ShingleCounts(*(np.concatenate([np.frombuffer(c[name], kind) for c in chunks]) for name, kind in kinds))
+
+
 def document_sets(docs: DataFrame, width: int) -> DataFrame:
     """doc, n, f1, f2 of every row of ``docs`` (doc, text)."""
 
@@ -90,8 +169,14 @@ def document_sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("doc", "text").mapInArrow(run, "doc long, n long, f1 long, f2 long")
 
 
-def candidate_edges(docs: DataFrame, groups: int, width: int, num: int, den: int) -> DataFrame:
-    """Edges a, b between documents that share a part; every list of equal parts becomes a star."""
+def candidate_edges(
+    docs: DataFrame, groups: int, width: int, num: int, den: int, sign: Callable[[np.ndarray, int, np.ndarray], np.ndarray] | None = None
+) -> DataFrame:
+    """Edges a, b between documents (doc, cluster, text) that share a signature; every list of equal signatures becomes a star.
+
+    ``sign`` gives the signatures of a set, its cluster and the size classes; without it, those of its parts.
+    """
+    sign = sign or (lambda s, cluster, bounds: signatures(s, bounds, num, den))
 
     def emit(sig: np.ndarray, doc: np.ndarray) -> Iterator[pa.RecordBatch]:
         order = np.lexsort((doc, sig))
@@ -123,11 +208,12 @@ def candidate_edges(docs: DataFrame, groups: int, width: int, num: int, den: int
         bounds = size_classes(1 << 12, num, den)
         for batch in batches:
             for rows in text_slices(batch, "text"):
-                for doc, s in zip(np.asarray(rows.column("doc")), shingle_sets(rows.column("text"), width)):
+                keys = (np.asarray(rows.column(c)) for c in ("doc", "cluster"))
+                for doc, cluster, s in zip(*keys, shingle_sets(rows.column("text"), width)):
                     if len(s):
                         if len(s) >= bounds[-2]:
                             bounds = size_classes(2 * len(s), num, den)
-                        sig = signatures(s, bounds, num, den).view(np.int64)
+                        sig = sign(s, cluster, bounds).view(np.int64)
                         held_sig.append(sig)
                         held_doc.append(np.full(len(sig), doc))
                         held += len(sig)
@@ -151,7 +237,7 @@ def candidate_edges(docs: DataFrame, groups: int, width: int, num: int, den: int
         pairs = np.unique(np.stack((left, right), 1), axis=0)
         return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
-    lists = docs.select("doc", "text").mapInArrow(run, "grp long, left binary, right binary")
+    lists = docs.select("doc", "cluster", "text").mapInArrow(run, "grp long, left binary, right binary")
     # Group -1 holds the edges found inside a batch; it only passes through, dealt over as many tasks as the others.
     spread = F.when(F.col("grp") >= 0, F.col("grp")).otherwise(-1 - F.pmod(F.hash("left"), F.lit(groups)))
     return lists.groupBy(spread.alias("g")).applyInArrow(meet, "a long, b long")
@@ -231,6 +317,35 @@ def _search(dealt: DataFrame, width: int, num: int, den: int) -> DataFrame:
     return materialise(rows.groupBy("task").applyInArrow(run, "a long, b long"), "verified")
 
 
+def _groups(n: int) -> int:
+    """Groups of candidate lists for ``n`` documents."""
+    return max(64, 1 << max(0, math.ceil(math.log2(max(1, n) / 4096))))
+
+
+def _clusters(reps: DataFrame, near: DataFrame) -> DataFrame:
+    """rep, cluster, size of the representatives that share a candidate component with another one."""
+    members = reps.distinct().join(near, F.col("rep") == F.col("node")).select("rep", F.col("component").alias("cluster"))
+    sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    return materialise(members.join(sizes, "cluster").select("rep", "cluster", "size"), "members")
+
+
+def _split_clusters(held: DataFrame, block: int, width: int, num: int, den: int) -> DataFrame:
+    """``held`` (rep, cluster, size, text) with the clusters above ``block`` split by the rarest shingles of their documents."""
+    small, before = [], math.inf
+    while True:
+        large = held.filter(F.col("size") > block)
+        n = large.count()
+        if not n or n > 0.8 * before:
+            return reduce(DataFrame.union, small, held)
+        small.append(held.filter(F.col("size") <= block))
+        before = n
+        counts = held.sparkSession.sparkContext.broadcast(shingle_counts(large, -(-n // 8192), width))
+        sign = lambda s, cluster, bounds, counts=counts: prefix_signatures(s, counts.value, cluster, bounds, num, den)
+        docs = large.select(F.col("rep").alias("doc"), "cluster", "text")
+        near = components(candidate_edges(docs, _groups(n), width, num, den, sign))
+        held = materialise(_with_texts(_clusters(large.select("rep"), near), docs.drop("cluster")), "candidate-texts")
+
+
 def _with_texts(rows: DataFrame, texts: DataFrame) -> DataFrame:
     """``rows`` (rep and more) with their texts, which are dealt by key at every size, so that the work grows as on small inputs."""
     return texts.join(rows.hint("merge"), F.col("doc") == F.col("rep")).select(*rows.columns, "text")
@@ -245,25 +360,21 @@ def jaccard_components(
     keyed = sets.filter("doc is not null and n > 0")
     classes = materialise(keyed.groupBy("n", "f1", "f2").agg(F.min("doc").alias("rep")), "classes")
     texts = texts.filter("doc is not null")
-    groups = max(64, 1 << max(0, math.ceil(math.log2(max(1, sets.count()) / 4096))))
-    near = components(candidate_edges(texts, groups, width, num, den))
+    whole = texts.withColumn("cluster", F.lit(0).cast("long"))
+    near = components(candidate_edges(whole, _groups(sets.count()), width, num, den))
     # Representatives by candidate component; a component of one representative holds copies only.
-    members = classes.select("rep").distinct().join(near, F.col("rep") == F.col("node")).select(
-        "rep", F.col("component").alias("cluster")
-    )
-    sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    members = materialise(members.join(sizes, "cluster"), "members")
-    packs = max(1, math.ceil(members.count() / max(1, block // 4)))
+    members = _clusters(classes.select("rep"), near)
+    # All texts are shuffled once; what follows reads those of candidates only.
+    held = _split_clusters(materialise(_with_texts(members, texts), "candidate-texts"), block, width, num, den)
+    packs = max(1, math.ceil(held.count() / max(1, block // 4)))
     alone = F.col("size") <= block
     piece = lambda salt: F.pmod(F.xxhash64("rep", F.lit(salt)), F.ceil(F.col("size") / block))
     task: Column = F.when(alone, F.struct(F.lit(0).alias("kind"), F.pmod(F.hash("cluster"), F.lit(packs)).cast("long").alias("c"),
                                           F.lit(0).cast("long").alias("x"))).otherwise(
         F.struct(F.lit(1).alias("kind"), F.col("cluster").alias("c"), piece(0).cast("long").alias("x")))
     zero = F.lit(0).alias("role")
-    # All texts are shuffled once; what follows reads those of candidates only.
-    held = materialise(_with_texts(members, texts), "candidate-texts")
     edges = _search(held.select("rep", "cluster", task.alias("task"), F.col("rep").alias("part"), zero, "text"), width, num, den)
-    large = members.filter(~alone)
+    large = held.filter(~alone).select("rep", "cluster", "size").distinct()
     if large.limit(1).count():
         blocks = held.filter(~alone).select(F.col("rep").alias("doc"), "text")
         edges = materialise(edges.union(_join_blocks(blocks, large, edges, block, width, num, den)), "verified")

@@ -174,6 +174,41 @@ def test_search_links_probes_long_lists():
     assert {x for p in zip(a, b) for x in p} == {0, 1, 3}
 
 
+def test_unrelated_documents_with_common_passages_are_not_searched_together(spark, monkeypatch):
+    rng = random.Random(12)
+    passages = [" ".join(f"p{k}x{i}" for i in range(12)) for k in range(6)]
+    rows = []
+    for i in range(0, 480, 2):
+        own = [" ".join(f"u{i}x{n}" for n in range(at, at + 12)) for at in range(0, 120, 12)]
+        text = " ".join(rng.sample(own + rng.sample(passages, 5), 15))
+        rows += [(i, text, "s")] + ([(i + 1, text + " end", "s")] if i % 40 == 0 else [])
+    dealt, search = [], jaccard_join._search
+
+    def counted(rows, *rest):
+        dealt.append(rows.count())
+        return search(rows, *rest)
+
+    monkeypatch.setattr(jaccard_join, "_search", counted)
+    got = jaccard_join.jaccard_components(docs(spark, rows), 5, 80, 100, block=16).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {i: i - i % 2 for i, _, _ in rows}
+    assert sum(dealt) < len(rows)  # 12 pairs of copies and what they meet, not all documents, block against block
+
+
+def test_similar_sets_share_one_of_their_rarest_shingles():
+    rng = np.random.default_rng(9)
+    bounds = jaccard_join.size_classes(1 << 12, 80, 100)
+    draw = lambda n: rng.integers(0, 1 << 63, n).astype(np.uint64)
+    table = jaccard_join.ShingleCounts(rng.integers(0, 9, 1 << 20), *rng.integers(0, 256, (2, 1 << 22)).astype(np.uint8))
+    for both in (1, 4, 5, 8, 40, 80, 400, 799):
+        for rest in (0, both // 4):  # similarity is 0.8 at least
+            for left in {0, rest // 2, rest}:
+                common = draw(both)
+                a, b = (np.unique(np.append(common, draw(n))) for n in (left, rest - left))
+                sa, sb = (jaccard_join.prefix_signatures(s, table, 7, bounds, 80, 100) for s in (a, b))
+                assert len(np.intersect1d(sa, sb))
+                assert not len(np.intersect1d(sa, jaccard_join.prefix_signatures(b, table, 8, bounds, 80, 100)))
+
+
 # --- decontamination ----------------------------------------------------------------------------------------------------------
 
 
