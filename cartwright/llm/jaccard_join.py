@@ -84,48 +84,41 @@ def signatures(shingles: np.ndarray, bounds: np.ndarray, num: int, den: int) ->
     return np.concatenate(out)
 
 
-class ShingleCounts:
-    """Tables over the shingles of a collection: how many fall into a bucket, and which bits were met once and more than once."""
+def _bucket(shingles: np.ndarray) -> np.ndarray:
+    return (shingles % np.uint64(_BUCKETS)).astype(np.int64)
 
-    def __init__(self, counts: np.ndarray, once: np.ndarray, more: np.ndarray):
-        self.counts, self.once, self.more = counts, once, more
 
-    @staticmethod
-    def bucket(shingles: np.ndarray) -> np.ndarray:
-        return (shingles % np.uint64(_BUCKETS)).astype(np.int64)
+def _bit(shingles: np.ndarray) -> np.ndarray:
+    return (shingles // np.uint64(_BUCKETS) % np.uint64(_BITS)).astype(np.int64)
 
-    @staticmethod
-    def bit(shingles: np.ndarray) -> np.ndarray:
-        return (shingles // np.uint64(_BUCKETS) % np.uint64(_BITS)).astype(np.int64)
 
-    def of(self, shingles: np.ndarray) -> np.ndarray:
-        """0 for shingles that surely occur once, else the count of their bucket."""
-        bit = self.bit(shingles)
-        shared = self.more[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8) & 1
-        return self.counts[self.bucket(shingles)] * shared
+def frequencies(shingles: np.ndarray, counts: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """By the tables of :func:`shingle_counts`: 0 for shingles that surely occur once, else the count of their bucket."""
+    bit = _bit(shingles)
+    return counts[_bucket(shingles)] * (more[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8) & 1)
 
 
 def prefix_signatures(
-    shingles: np.ndarray, table: ShingleCounts, cluster: int, bounds: np.ndarray, num: int, den: int
+    shingles: np.ndarray, tables: tuple[np.ndarray, np.ndarray], cluster: int, bounds: np.ndarray, num: int, den: int
 ) -> np.ndarray:
     """Hashes of the rarest shingles of one set, of which similar sets in ``cluster`` share one in a common size class."""
     own = int(np.searchsorted(bounds, len(shingles), side="right")) - 1
     ahead = len(shingles) - -(-num * len(shingles) // den) + 1
-    rarest = shingles[np.lexsort((shingles, table.of(shingles)))[:ahead]]
+    rarest = shingles[np.lexsort((shingles, frequencies(shingles, *tables)))[:ahead]]
     salts = mix64(mix64(np.array([cluster]).view(np.uint64)) + np.array([own, own + 1], np.uint64))
     return mix64(rarest ^ salts[:, None]).ravel()
 
 
-def shingle_counts(docs: DataFrame, tasks: int, width: int) -> ShingleCounts:
-    """Tables over the sets of ``docs`` (text), of the same size for every input."""
+def shingle_counts(docs: DataFrame, tasks: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Over the sets of ``docs`` (text): shingles by bucket, and bits met more than once. Both are as large for every input."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, met = np.zeros(_BUCKETS, np.int64), np.zeros(_BITS, np.uint8)
         for batch in batches:
             for rows in text_slices(batch, "text"):
                 shingles = np.concatenate(shingle_sets(rows.column("text"), width))
-                np.add.at(counts, ShingleCounts.bucket(shingles), 1)
-                bits, times = np.unique(ShingleCounts.bit(shingles), return_counts=True)
+                np.add.at(counts, _bucket(shingles), 1)
+                bits, times = np.unique(_bit(shingles), return_counts=True)
                 met[bits] = np.minimum(met[bits] + np.minimum(times, 2), 2)
         tables = (counts.astype(np.uint32), np.packbits(met > 0), np.packbits(met > 1))
         yield pa.RecordBatch.from_arrays(
@@ -146,9 +139,8 @@ def shingle_counts(docs: DataFrame, tasks: int, width: int) -> ShingleCounts:
 
     schema = "chunk int, counts binary, once binary, more binary"
     found = docs.select("text").coalesce(tasks).mapInArrow(run, schema).groupBy("chunk").applyInArrow(add, schema)
-    chunks = materialise(found, "counts").orderBy("chunk").collect()
-    kinds = (("counts", np.uint32), ("once", np.uint8), ("more", np.uint8))
-    return ShingleCounts(*(np.concatenate([np.frombuffer(c[name], kind) for c in chunks]) for name, kind in kinds))
+    chunks = materialise(found, "counts").select("chunk", "counts", "more").orderBy("chunk").collect()
+    return tuple(np.concatenate([np.frombuffer(c[name], kind) for c in chunks]) for name, kind in (("counts", np.uint32), ("more", np.uint8)))
 
 
 def document_sets(docs: DataFrame, width: int) -> DataFrame:
@@ -240,7 +232,9 @@ def candidate_edges(
     lists = docs.select("doc", "cluster", "text").mapInArrow(run, "grp long, left binary, right binary")
     # Group -1 holds the edges found inside a batch; it only passes through, dealt over as many tasks as the others.
     spread = F.when(F.col("grp") >= 0, F.col("grp")).otherwise(-1 - F.pmod(F.hash("left"), F.lit(groups)))
-    return lists.groupBy(spread.alias("g")).applyInArrow(meet, "a long, b long")
+    found = lists.groupBy(spread.alias("g")).applyInArrow(meet, "a long, b long")
+    # Near copies meet in many groups: their edges come together here, else every task's forest would hold them again.
+    return found.repartition("a")
 
 
 def search_links(
@@ -339,8 +333,8 @@ def _split_clusters(held: DataFrame, block: int, width: int, num: int, den: int)
             return reduce(DataFrame.union, small, held)
         small.append(held.filter(F.col("size") <= block))
         before = n
-        counts = held.sparkSession.sparkContext.broadcast(shingle_counts(large, -(-n // 8192), width))
-        sign = lambda s, cluster, bounds, counts=counts: prefix_signatures(s, counts.value, cluster, bounds, num, den)
+        tables = held.sparkSession.sparkContext.broadcast(shingle_counts(large, -(-n // 8192), width))
+        sign = lambda s, cluster, bounds, tables=tables: prefix_signatures(s, tables.value, cluster, bounds, num, den)
         docs = large.select(F.col("rep").alias("doc"), "cluster", "text")
         near = components(candidate_edges(docs, _groups(n), width, num, den, sign))
         held = materialise(_with_texts(_clusters(large.select("rep"), near), docs.drop("cluster")), "candidate-texts")

@@ -198,15 +198,15 @@ def test_similar_sets_share_one_of_their_rarest_shingles():
     rng = np.random.default_rng(9)
     bounds = jaccard_join.size_classes(1 << 12, 80, 100)
     draw = lambda n: rng.integers(0, 1 << 63, n).astype(np.uint64)
-    table = jaccard_join.ShingleCounts(rng.integers(0, 9, 1 << 20), *rng.integers(0, 256, (2, 1 << 22)).astype(np.uint8))
+    tables = rng.integers(0, 9, 1 << 20), rng.integers(0, 256, 1 << 22).astype(np.uint8)
     for both in (1, 4, 5, 8, 40, 80, 400, 799):
         for rest in (0, both // 4):  # similarity is 0.8 at least
             for left in {0, rest // 2, rest}:
                 common = draw(both)
                 a, b = (np.unique(np.append(common, draw(n))) for n in (left, rest - left))
-                sa, sb = (jaccard_join.prefix_signatures(s, table, 7, bounds, 80, 100) for s in (a, b))
+                sa, sb = (jaccard_join.prefix_signatures(s, tables, 7, bounds, 80, 100) for s in (a, b))
                 assert len(np.intersect1d(sa, sb))
-                assert not len(np.intersect1d(sa, jaccard_join.prefix_signatures(b, table, 8, bounds, 80, 100)))
+                assert not len(np.intersect1d(sa, jaccard_join.prefix_signatures(b, tables, 8, bounds, 80, 100)))
 
 
 # --- decontamination ----------------------------------------------------------------------------------------------------------
