@@ -4,6 +4,7 @@ from itertools import combinations, permutations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -193,3 +194,59 @@ def test_an_item_without_a_feature_takes_nothing_from_others(spark):
     got = R.blended_neighbours(features, n=2).toPandas()
     assert set(got["item"]) == set(range(90)) - {3} == set(got["item"]) | set(got["other"])
     assert len(got) == 89 * 2
+
+
+@pytest.mark.parametrize("held, buffer", [(1, 300_000), (4, 20)])
+def test_scores_by_bucket_equal_all_sums(held, buffer, monkeypatch):
+    """Sparse rows over several right blocks, a user with many cells, more products than are held at a time."""
+    monkeypatch.setattr(products, "BUFFER", buffer)
+    rng = np.random.default_rng(3)
+    x = np.where(rng.random((90, 700)) < 0.02, rng.integers(1, 9, (90, 700)), 0.0)
+    x[7] = rng.random(700) < 0.2
+    own = x * (rng.random(x.shape) < 0.6)
+    user, item = np.nonzero(own)
+    left = products._Left(
+        products._left_block({"id": pa.array(user), "k": pa.array(item.astype(np.int32)), "w": pa.array(own[user, item]), "r": pa.array(item)}), 3
+    )
+    u, i = np.nonzero(x)
+    for b in range(3):
+        m = i % 3 == b
+        cells = {"j": (i[m] // 3).astype(np.int32), "via": u[m].astype(np.int32), "w": x[u[m], i[m]]}
+        left.extend(products._through_block({c: pa.array(v) for c, v in cells.items()}), b)
+    left.close()
+    for b in range(held):
+        m = i % held == b
+        cells = {"id": pa.array(i[m]), "k": pa.array(u[m].astype(np.int32)), "w": pa.array(x[u[m], i[m]])}
+        pair = products._Pair(left, products._right_block(cells), len(x), 5, True, False)
+        pair.few = True
+        pair.best()
+    want = blocks._significant(own @ x.T @ x)
+    want[own > 0] = -np.inf
+    got = list(zip(left.ids.take(pa.array(left.row)).to_pylist(), left.partner.to_pylist()))
+    for row in np.unique(user):
+        best = [j for j in np.lexsort((np.arange(700), -want[row]))[:5] if want[row, j] > 0]
+        assert [j for r, j in got if r == row] == best
+
+
+@pytest.mark.parametrize("exclude", [True, False])
+def test_ways_over_buyers_are_walked_inside_a_task(spark, exclude, monkeypatch):
+    """Users buy more than items are bought; one item is bought by all. Left blocks are cut by the ways."""
+    monkeypatch.setattr(products, "BLOCK_CELLS", 150)
+    monkeypatch.setattr(products, "LEFT_WAYS", 300)
+    rng = np.random.default_rng(6)
+    rows = [(f"u{u}", int(i), float(rng.integers(1, 9))) for u in range(15) for i in {0, *rng.choice(300, 50, replace=False).tolist()}]
+    pdf = pd.DataFrame(rows, columns=["user", "item", "w"])
+    cells = materialise(spark.createDataFrame(pdf))
+    known = R.item_similarity(cells)
+    assert R._by_buyers(cells, known) == (pdf.groupby("item").size() ** 2).sum()
+    found = R.score_users(cells, known, n=3, exclude_purchased=exclude)
+    assert found.count() == 45
+    m = pdf.pivot(index="user", columns="item", values="w").fillna(0)
+    a = m.to_numpy()
+    unit = a / np.linalg.norm(a, axis=0)
+    scores = a @ (unit.T @ unit) / ((a > 0).sum(axis=1, keepdims=True) + 1)
+    scores[(a > 0) & exclude] = -np.inf
+    for row in found.collect():
+        u = m.index.get_loc(row["user"])
+        assert row["score"] == pytest.approx(scores[u, m.columns.get_loc(row["item"])], rel=1e-6)
+        assert row["score"] >= np.sort(scores[u])[::-1][row["rank"] - 1] * (1 - 1e-6)
