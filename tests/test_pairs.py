@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from cartwright.operators import blocks, products
+from cartwright.operators import blocks, nearest, products
 from cartwright.operators.cooccurrence import frequent_pairs
 from cartwright.operators.predictive import recommend as R
 from cartwright.session import materialise
@@ -250,3 +250,55 @@ def test_ways_over_buyers_are_walked_inside_a_task(spark, exclude, monkeypatch):
         u = m.index.get_loc(row["user"])
         assert row["score"] == pytest.approx(scores[u, m.columns.get_loc(row["item"])], rel=1e-6)
         assert row["score"] >= np.sort(scores[u])[::-1][row["rank"] - 1] * (1 - 1e-6)
+
+
+def test_nearest_by_boxes_equals_all_pairs(spark, monkeypatch):
+    """Points on a sphere, many of them twice, zeros among them, in several blocks: ties go to the smaller id."""
+    monkeypatch.setattr(nearest, "BLOCK_VALUES", 900)
+    monkeypatch.setattr(nearest, "LEFT_POINTS", 150)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(400, 3)) * [1, 1, 0.2]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x = np.concatenate([x, x[:300], np.zeros((3, 3))])[rng.permutation(703)]
+    got = nearest.nearest(spark.createDataFrame([(f"i{i:03}", v.tolist()) for i, v in enumerate(x)], "id string, x array<double>"), 4).collect()
+    scores = nearest._rounded(x @ x.T)
+    np.fill_diagonal(scores, -np.inf)
+    want = [(f"i{i:03}", f"i{j:03}", k + 1) for i in range(703) for k, j in enumerate(np.lexsort((np.arange(703), -scores[i]))[:4])]
+    assert sorted((r["l"], r["r"], r["rank"]) for r in got) == sorted(want)
+
+
+def test_boxes_far_away_are_not_read():
+    """The boxes that a box must read hardly grow with their number."""
+    rng = np.random.default_rng(9)
+    read = []
+    for size in (2_000, 16_000):
+        x = rng.normal(size=(size, 3))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        boxes = nearest._Boxes(nearest._points({"id": pa.array(range(size)), "x": pa.array(x.tolist())}))
+        seen = []
+        row, col, score = nearest._search(boxes, boxes, np.full(size, -np.inf), 5)
+        for box in range(len(boxes.at) - 1):
+            points = slice(boxes.at[box], boxes.at[box + 1])
+            least = score[(row >= points.start) & (row < points.stop)].min()
+            seen.append((boxes.bounds(boxes.low[box], boxes.high[box], boxes.square[box]) >= least).sum())
+        read.append(np.mean(seen))
+    assert read[1] < 2 * read[0] < len(boxes.at) / 4
+
+
+def test_blended_pairs_with_and_without_a_common_customer(spark, monkeypatch):
+    monkeypatch.setattr(products, "BLOCK_CELLS", 80)
+    rng = np.random.default_rng(10)
+    x = rng.normal(size=(60, 3))
+    bought = np.where(rng.random((25, 60)) < 0.06, rng.integers(1, 9, (25, 60)), 0.0)
+    bought[:, 5] = 0
+    rows = [(int(u), int(i), float(bought[u, i])) for u, i in zip(*np.nonzero(bought))]
+    cells = materialise(spark.createDataFrame(rows, "user long, item long, w double"))
+    features = spark.createDataFrame([(i, [None if i == 7 else float(v) for v in row]) for i, row in enumerate(x)], "item long, features array<double>")
+    got = R.blended_neighbours(features, R.item_similarity(cells), 0.3, n=4).collect()
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    cosine = bought / np.maximum(np.linalg.norm(bought, axis=0), 1e-300)
+    want = np.floor((0.7 * unit @ unit.T + 0.3 * cosine.T @ cosine) * 1e7 + 0.5)
+    np.fill_diagonal(want, -np.inf)
+    want[7] = want[:, 7] = -np.inf
+    best = {i: np.lexsort((np.arange(60), -want[i]))[:4].tolist() for i in range(60) if i != 7}
+    assert {i: [r["other"] for r in sorted(got, key=lambda r: r["rank"]) if r["item"] == i] for i in {r["item"] for r in got}} == best
